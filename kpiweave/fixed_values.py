@@ -127,6 +127,30 @@ ENVELOPE_REQUIRED = [
     "event_properties",
 ]
 
+# The standing checks: name -> (expectation as printed in the report, severity).
+CHECKS = {
+    "events_not_null_event_id": ("event_id should never be NULL", "critical"),
+    "events_unique_event_id": ("event_id should be unique (no duplicates)", "critical"),
+    "events_valid_event_name": ("event_name should be in the defined taxonomy", "critical"),
+    "events_valid_platform": ("platform should be ios, android, or web", "warning"),
+    "events_not_null_timestamp": ("event_timestamp should never be NULL", "critical"),
+    "events_null_rate_user_id": ("user_id null rate should be less than 5%", "warning"),
+    "txn_not_null_transaction_id": ("transaction_id should never be NULL", "critical"),
+    "txn_unique_transaction_id": ("transaction_id should be unique", "critical"),
+    "txn_positive_amount": ("amount should be positive", "critical"),
+    "txn_non_negative_fee": ("fee should be non-negative", "critical"),
+    "txn_valid_status": ("status should be in the valid set", "critical"),
+    "txn_valid_type": ("transaction_type should be in the valid set", "warning"),
+    "txn_amount_gte_fee": ("amount should always be >= fee", "warning"),
+    "txn_users_exist": ("All transaction user_ids should exist in users table", "warning"),
+    "events_daily_volume_anomaly": (
+        "Daily event volume should not deviate more than 3 std from mean",
+        "warning",
+    ),
+}
+CHECK_PASSED = "No violations found"
+CHECK_FAILED = " violations found"
+
 # Stated targets of the headline metrics (percent, won, users).
 TARGETS = {
     "dau": 100_000.0,

@@ -134,11 +134,9 @@ def period_filter(
     df: DataFrame, date: str = "date", days: int = 30, platform: str | None = None
 ) -> DataFrame:
     """The last ``days`` days up to the newest date of the frame, optionally one platform."""
-    newest = df.agg(F.max(date).alias("_newest"))  # one row
-    recent = df.crossJoin(F.broadcast(newest)).where(
-        F.col(date) > F.date_sub(F.col("_newest"), days)
-    )
-    kept = recent.drop("_newest")
+    # A scalar subquery: its value reaches the scan, so old partitions are skipped.
+    newest = df.agg(F.max(date)).scalar()
+    kept = df.where(F.col(date) > F.date_sub(newest, days))
     return kept if platform is None else kept.where(F.col("platform") == platform)
 
 

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from verification.oracle_base import with_ctes
 from verification.oracle_models import MODELS
+from verification.oracle_quality import QUALITY
 from verification.queries_models import MODEL_QUERIES
+from verification.queries_quality import QUALITY_QUERIES
 
-QUERIES = {**MODEL_QUERIES}
-ORACLE = {key: with_ctes(sql) for key, sql in {**MODELS}.items()}
+QUERIES = {**MODEL_QUERIES, **QUALITY_QUERIES}
+ORACLE = {key: with_ctes(sql) for key, sql in {**MODELS, **QUALITY}.items()}
