@@ -7,12 +7,14 @@ from kpiweave.functions.columns import (  # noqa: F401
     instant,
     kst,
     labelled,
+    micros_between,
     month_start,
     one_of,
     pct,
     per,
     safe_int,
     safe_long,
+    safe_number,
     seconds_between,
     sum_where,
     utc_wall,

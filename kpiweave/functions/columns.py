@@ -66,13 +66,23 @@ def month_start(day: Column) -> Column:
     return F.trunc(day, "month")
 
 
+def _elapsed(start: Column, end: Column) -> Column:
+    """Seconds with microseconds. The difference of zone-free times is a plain interval, so
+    the session zone and its daylight saving play no part."""
+    return (end - start).cast("interval second").cast("decimal(20,6)")
+
+
 def seconds_between(start: Column, end: Column) -> Column:
-    return F.timestamp_diff("MICROSECOND", start, end) / F.lit(1e6)
+    return _elapsed(start, end).cast("double")
+
+
+def micros_between(start: Column, end: Column) -> Column:
+    return (_elapsed(start, end) * F.lit(1_000_000)).cast("bigint")
 
 
 def epoch_micros(ts: Column) -> Column:
-    """Microseconds since 1970 of a zone-free timestamp, whatever the session zone."""
-    return F.timestamp_diff("MICROSECOND", F.expr(EPOCH), ts)
+    """Microseconds since 1970 of a zone-free timestamp."""
+    return micros_between(F.expr(EPOCH), ts)
 
 
 def instant(ts: Column) -> Column:
@@ -85,7 +95,7 @@ def utc_wall(ts: Column) -> Column:
     return F.timestamp_add("MICROSECOND", F.unix_micros(ts), F.expr(EPOCH))
 
 
-def _safe_number(df: DataFrame, name: str, target: str) -> Column:
+def safe_number(df: DataFrame, name: str, target: str) -> Column:
     column = F.col(name)
     if isinstance(df.schema[name].dataType, T.StringType):
         # Text of a nullable integer column often reads "50000.0".
@@ -97,8 +107,8 @@ def _safe_number(df: DataFrame, name: str, target: str) -> Column:
 
 
 def safe_long(df: DataFrame, name: str) -> Column:
-    return _safe_number(df, name, "bigint")
+    return safe_number(df, name, "bigint")
 
 
 def safe_int(df: DataFrame, name: str) -> Column:
-    return _safe_number(df, name, "int")
+    return safe_number(df, name, "int")

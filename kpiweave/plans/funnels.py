@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kpiweave import fixed_values as V
-from kpiweave.functions import count_where, pct, seconds_between
+from kpiweave.functions import count_where, micros_between, pct, seconds_between
 from kpiweave.operators.funnel import first_times, step_rows
 from kpiweave.operators.percentile import exact_percentiles
 
@@ -116,7 +116,7 @@ def time_to_convert(int_funnel: DataFrame) -> DataFrame:
     """Exact quartiles, in minutes, of the time between funnel steps."""
 
     def gap(name: str, start: str, end: str):
-        micros = F.timestamp_diff("MICROSECOND", F.col(start), F.col(end))
+        micros = micros_between(F.col(start), F.col(end))
         return F.struct(F.lit(name).alias("transition"), micros.alias("micros"))
 
     gaps = F.array(

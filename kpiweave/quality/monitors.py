@@ -21,7 +21,7 @@ def freshness(
     events: DataFrame, transactions: DataFrame, as_of: dt.datetime, hours: int = 48
 ) -> DataFrame:
     """Newest row of each table and whether it is recent enough at ``as_of``."""
-    oldest = F.lit(as_of - dt.timedelta(hours=hours)).cast(NTZ)
+    oldest = F.lit(str(as_of - dt.timedelta(hours=hours))).cast(NTZ)
 
     def newest(table: str, df: DataFrame, ts: str) -> DataFrame:
         latest = df.agg(F.max(F.col(ts).cast(NTZ)).alias("latest"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kpiweave import fixed_values as V
@@ -26,16 +26,35 @@ def quality_report(events: DataFrame, transactions: DataFrame, users: DataFrame)
     )
 
 
-def report_summary(report: DataFrame) -> DataFrame:
-    """total_checks, passed, failed, quality_score and whether a critical check failed."""
+def _totals() -> list:
     critical = ~F.col("passed") & (F.col("severity") == "critical")
-    return report.agg(
+    return [
         F.count("*").alias("total_checks"),
         F.count_if("passed").alias("passed"),
         F.count_if(~F.col("passed")).alias("failed"),
         pct(F.count_if("passed"), F.count("*"), 1).alias("quality_score"),
         F.count_if(critical).alias("critical_failed"),
-    )
+    ]
+
+
+def report_summary(report: DataFrame) -> DataFrame:
+    """total_checks, passed, failed, quality_score and how many critical checks failed."""
+    return report.agg(*_totals())
+
+
+def report_document(report: DataFrame, run_at: str) -> DataFrame:
+    """The totals with the list of the fifteen check results, as one row."""
+    run = F.lit(run_at)
+    result = F.struct(*report.columns, run.alias("run_at"))
+    document = report.agg(*_totals(), F.sort_array(F.collect_list(result)).alias("results"))
+    return document.select(run.alias("run_timestamp"), "*")
+
+
+def with_score(report: DataFrame) -> DataFrame:
+    """The report with the score beside every check; fifteen rows, so one window is fine."""
+    everything = Window.partitionBy()
+    passed = F.count_if("passed").over(everything)
+    return report.withColumn("quality_score", pct(passed, F.count("*").over(everything), 1))
 
 
 def alert_level(summary: DataFrame, critical_below: float = 80.0, warning_below: float = 90.0):

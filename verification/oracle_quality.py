@@ -81,7 +81,7 @@ _RULES = {
 
 def _named_list(rules: dict[str, str]) -> str:
     items = ", ".join(f"CASE WHEN {cond} THEN '{name}' END" for name, cond in rules.items())
-    return f"array_to_string(list_sort([{items}]), ',')"
+    return f"COALESCE(array_to_string(list_sort([{items}]), ','), '')"
 
 
 def _demands() -> dict[str, str]:

@@ -42,9 +42,7 @@ def suite(t: Tables, *kinds: str) -> DataFrame:
 
 
 def scored_report(t: Tables) -> DataFrame:
-    rows = report.quality_report(t.events, t.transactions, t.users)
-    score = report.report_summary(rows).select("quality_score")
-    return rows.crossJoin(F.broadcast(score))  # one-row side
+    return report.with_score(report.quality_report(t.events, t.transactions, t.users))
 
 
 def listed(df: DataFrame, column: str) -> DataFrame:
