@@ -50,7 +50,9 @@ def exact_percentiles(
     needed = coarse.where(wanted).select(
         *[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_bucket").alias("_b"), "_below", "_total"
     )
-    same = F.col("_bucket") == F.col("_b")
+    # Null-safe equality adds no filter below the join, so both readers of ``counts`` have
+    # the same plan and share one exchange.
+    same = F.col("_bucket").eqNullSafe(F.col("_b"))
     for key in keys:
         same = same & F.col(key).eqNullSafe(F.col(f"_k_{key}"))
     in_bucket = (

@@ -78,7 +78,12 @@ def high_value_txn(
             F.count("*").alias("_txns"),
         )
     )
-    facts = done.select("transaction_id", "user_id", "transaction_type", "amount", "created_at")
+    # No amount at or below ``times`` the smallest mean can qualify. The value is a scalar
+    # subquery, so most facts are dropped in the scan and never shuffled.
+    lowest = per_user.where(F.col("_txns") >= min_txns).agg(F.min("user_avg_amount")).scalar()
+    facts = done.where(F.col("amount") > lowest * times).select(
+        "transaction_id", "user_id", "transaction_type", "amount", "created_at"
+    )
     ratio = F.col("amount") / F.nullif(F.col("user_avg_amount"), F.lit(0.0))
     gap = (F.col("amount") - F.col("user_avg_amount")) / F.nullif(F.col("_std"), F.lit(0.0))
     found = (

@@ -148,13 +148,23 @@ def signup_conversion_7d(
     signed = F.col("event_name") == V.SIGNUP_DONE
     sent = F.col("event_name") == V.TRANSFER_DONE
     ts = F.col("event_timestamp_kst")
-    per_user = (
+    # Per (user, segment values) only times are aggregated, which hashing can do; the first
+    # signup with its segment values is then picked from the few rows left per user.
+    narrowed = (
         stg_events.where(signed | sent)
-        .groupBy("user_id")
+        .groupBy("user_id", *segments)
         .agg(
-            F.min(F.when(signed, F.struct(ts.alias("at"), *segments))).alias("signup"),
+            F.min(F.when(signed, ts)).alias("signed_at"),
             F.min(F.when(sent, ts)).alias("sent_at"),
         )
+    )
+    first_signup = F.struct(F.col("signed_at").alias("at"), *segments)
+    per_user = (
+        narrowed.groupBy("user_id")
+        .agg(
+            F.min(F.when(F.col("signed_at").isNotNull(), first_signup)).alias("signup"),
+            F.min("sent_at").alias("sent_at"),
+        )
         .where(F.col("signup").isNotNull())
     )
     limit = F.col("signup.at") + F.make_dt_interval(days=F.lit(within_days))

@@ -78,27 +78,47 @@ def volume_anomalies(daily: DataFrame, sigmas: float = 3.0) -> DataFrame:
 
 def run_checks(events: DataFrame, transactions: DataFrame, users: DataFrame) -> DataFrame:
     """check_name, violations for all fifteen checks."""
-    unknown_name = ~F.col("event_name").isin(*V.EVENT_NAMES)
-    unknown_platform = ~F.col("platform").isin(*V.PLATFORMS)
-    # One scan of the events: every rule below reads this small profile.
+    # One scan of the events. The small profile is then summed per day, per name, per
+    # platform and in all, as rows, so that every rule reads the same result.
+    measures = ["cnt", "no_user", *EVENT_ROW_RULES]
     profile = events.groupBy("event_name", "platform", _event_day()).agg(
         F.count("*").alias("cnt"),
         F.count_if(F.col("user_id").isNull()).alias("no_user"),
         *[F.count_if(rule()).alias(name) for name, rule in EVENT_ROW_RULES.items()],
     )
-    over_limit = pct(F.sum("no_user"), F.sum("cnt")) > 5
-    event_totals = profile.groupBy("event_name", "platform").agg(
-        *[F.sum(c).alias(c) for c in ["cnt", "no_user", *EVENT_ROW_RULES]]
+
+    def scope(name: str, value: Column) -> Column:
+        return F.struct(F.lit(name).alias("scope"), value.cast("string").alias("value"))
+
+    scopes = F.array(
+        scope("day", F.col("dt")),
+        scope("name", F.col("event_name")),
+        scope("platform", F.col("platform")),
+        scope("all", F.lit(None)),
+    )
+    summed = (
+        profile.select(*measures, F.inline(scopes))
+        .groupBy("scope", "value")
+        .agg(*[F.sum(m).alias(m) for m in measures])
     )
-    event_counts = event_totals.agg(
-        *[F.sum(name).alias(name) for name in EVENT_ROW_RULES],
-        over_limit.cast("int").alias("events_null_rate_user_id"),
-        F.count_distinct(F.when(unknown_name, F.col("event_name"))).alias("events_valid_event_name"),
-        F.count_distinct(F.when(unknown_platform, F.col("platform"))).alias(
-            "events_valid_platform"
-        ),
+    # The days form one series (a row per calendar day); names and platforms, which may be
+    # many in a broken table, stay apart from it and from each other.
+    series = F.when(F.col("scope") == "day", "day").otherwise(F.concat_ws(":", "scope", "value"))
+    scored = series_stats(summed.withColumn("series", series), ["cnt"], by=["series"])
+
+    def within(name: str, condition: Column) -> Column:
+        return F.count_if((F.col("scope") == name) & condition)
+
+    def total(column: str) -> Column:
+        return F.sum(F.when(F.col("scope") == "all", F.col(column)))
+
+    event_counts = scored.agg(
+        *[total(name).alias(name) for name in EVENT_ROW_RULES],
+        within("all", pct(F.col("no_user"), F.col("cnt")) > 5).alias("events_null_rate_user_id"),
+        within("name", ~F.col("value").isin(*V.EVENT_NAMES)).alias("events_valid_event_name"),
+        within("platform", ~F.col("value").isin(*V.PLATFORMS)).alias("events_valid_platform"),
+        within("day", F.abs(zscore("cnt")) > 3).alias("events_daily_volume_anomaly"),
     )
-    daily = profile.groupBy("dt").agg(F.sum("cnt").alias("cnt"))
 
     unknown_status = ~F.col("status").isin(*V.TRANSACTION_STATUSES)
     unknown_type = ~F.col("transaction_type").isin(*V.TRANSACTION_TYPES)
@@ -135,5 +155,4 @@ def run_checks(events: DataFrame, transactions: DataFrame, users: DataFrame) ->
             counted(duplicates(transactions, "transaction_id"), "txn_unique_transaction_id")
         )
         .unionByName(counted(orphans(transactions, users, "user_id"), "txn_users_exist"))
-        .unionByName(counted(volume_anomalies(daily), "events_daily_volume_anomaly"))
     )

@@ -11,6 +11,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Recording the call site of every column expression costs more than planning the query.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

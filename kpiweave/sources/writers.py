@@ -8,6 +8,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kpiweave.quality.report import report_document
 
@@ -28,25 +29,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def write_time_ordered(df: DataFrame, path: str, ts: str, files: int | None = None) -> None:
-    """Parquet whose files cover disjoint time ranges, each sorted, so that a time filter
-    skips files and row groups. Ranges come from a sample; equal times may share a file."""
-    ranged = df.repartitionByRange(files, ts) if files else df.repartitionByRange(ts)
+    """Parquet files that follow each other in time, each sorted, so that a time filter skips
+    files and row groups.
+
+    Ranges come from a sample. Rows of one time are told apart by a hash of the row, so a
+    time that holds much of the data is still spread over several files.
+    """
+    plain = [f.name for f in df.schema.fields if isinstance(f.dataType, T.AtomicType)]
+    order = [F.col(ts), F.xxhash64(*plain)]
+    ranged = df.repartitionByRange(files, *order) if files else df.repartitionByRange(*order)
     ranged.sortWithinPartitions(ts).write.mode("overwrite").parquet(path)
 
 
-def write_partitioned(
-    df: DataFrame, path: str, by: Sequence[str], split_by: str | None = None, splits: int = 1
-) -> None:
+def write_partitioned(df: DataFrame, path: str, by: Sequence[str]) -> None:
     """Replaces exactly the partitions present in ``df``; others stay.
 
-    A partition's rows go to one writer, or to ``splits`` of them by a hash of ``split_by``
-    when single partitions are large.
+    The rebalance keeps a partition's rows together where they are few and splits them over
+    several tasks, hence files, where they are many.
     """
-    keys = [F.col(c) for c in by]
-    if split_by is not None and splits > 1:
-        keys.append(F.pmod(F.xxhash64(split_by), F.lit(splits)))
     (
-        df.repartition(*keys)
+        df.hint("rebalance", *by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*by)

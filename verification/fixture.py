@@ -7,6 +7,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+# The columns used of the driver's tables. Given schemas save a look into the files.
+SOURCE_SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double",
+    "customer": "c_custkey bigint",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_totalprice double",
+}
+
 EVENT_STEP = """CASE event_type WHEN 'signup' THEN 1 + event_id % 4
     WHEN 'click' THEN CASE WHEN event_id % 4 = 0 THEN 5 END
     WHEN 'purchase' THEN CASE WHEN event_id % 4 < 2 THEN 6 END END"""
@@ -135,33 +142,37 @@ def _items(columns: dict[str, str], engine: str) -> list[str]:
 # --- Spark side ---------------------------------------------------------------
 
 
-def events_from(source: DataFrame) -> DataFrame:
-    """``source``: the driver's events, as a batch or a stream. Resends come from a Generate,
+def events_from(rows: DataFrame) -> DataFrame:
+    """``rows``: the driver's events, as a batch or a stream. Resends come from a Generate,
     so the table is read once."""
     copies = "explode(CASE WHEN event_id % 400 = 9 THEN array(0, 1) ELSE array(0) END) AS copy_no"
     return (
-        source.selectExpr("*", f"{EVENT_STEP} AS step")
+        rows.selectExpr("*", f"{EVENT_STEP} AS step")
         .selectExpr("*", f"{EVENT_NAME} AS event_name", copies)
         .selectExpr(*_items(EVENT_COLUMNS, "spark"))
     )
 
 
-def transactions_from(source: DataFrame) -> DataFrame:
-    helped = source.selectExpr("*", *_items(TRANSACTION_HELPERS, "spark"))
+def transactions_from(rows: DataFrame) -> DataFrame:
+    helped = rows.selectExpr("*", *_items(TRANSACTION_HELPERS, "spark"))
     return helped.selectExpr(*_items(TRANSACTION_COLUMNS, "spark"))
 
 
+def source(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    return spark.read.schema(SOURCE_SCHEMAS[table]).parquet(f"{sf_dir}/{table}.parquet")
+
+
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events_from(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    return events_from(source(spark, sf_dir, "events"))
 
 
 def raw_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customers = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    customers = source(spark, sf_dir, "customer")
     return customers.where(USER_FILTER).selectExpr(*_items(USER_COLUMNS, "spark"))
 
 
 def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return transactions_from(spark.read.parquet(f"{sf_dir}/orders.parquet"))
+    return transactions_from(source(spark, sf_dir, "orders"))
 
 
 # --- DuckDB side ----------------------------------------------------------------

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,46 +21,64 @@ class Tables:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
-        self.events = fixture.raw_events(spark, sf_dir)
-        self.users = fixture.raw_users(spark, sf_dir)
-        self.transactions = fixture.raw_transactions(spark, sf_dir)
-        self.stg_events = staging.stg_events(self.events)
-        self.stg_users = staging.stg_users(self.users, AS_OF_DATE)
-        self.stg_txn = staging.stg_transactions(self.transactions)
-
-    @property
+
+    @cached_property
+    def events(self):
+        return fixture.raw_events(self.spark, self.sf_dir)
+
+    @cached_property
+    def users(self):
+        return fixture.raw_users(self.spark, self.sf_dir)
+
+    @cached_property
+    def transactions(self):
+        return fixture.raw_transactions(self.spark, self.sf_dir)
+
+    @cached_property
+    def stg_events(self):
+        return staging.stg_events(self.events)
+
+    @cached_property
+    def stg_users(self):
+        return staging.stg_users(self.users, AS_OF_DATE)
+
+    @cached_property
+    def stg_txn(self):
+        return staging.stg_transactions(self.transactions)
+
+    @cached_property
     def int_dau(self):
         return activity.int_daily_active_users(self.stg_events, self.stg_users)
 
-    @property
+    @cached_property
     def int_funnel(self):
         return funnels.int_funnel_conversion(self.stg_events)
 
-    @property
+    @cached_property
     def int_cohort(self):
         return cohorts.int_user_cohort(self.stg_users, self.stg_events)
 
-    @property
+    @cached_property
     def daily_kpi(self):
         return kpi.mart_daily_kpi(self.int_dau, self.stg_txn)
 
-    @property
+    @cached_property
     def funnel(self):
         return funnels.mart_funnel(self.int_funnel)
 
-    @property
+    @cached_property
     def retention(self):
         return cohorts.mart_retention(self.int_cohort)
 
-    @property
+    @cached_property
     def revenue(self):
         return revenue.mart_revenue(self.stg_txn)
 
-    @property
+    @cached_property
     def export_kpi(self):
         return kpi.export_daily_kpi(self.events, self.transactions)
 
-    @property
+    @cached_property
     def curve(self):
         return cohorts.cohort_curve(self.users, self.events)
 
