@@ -20,6 +20,7 @@ def spark(tmp_path_factory):
             "spark.checkpoint.dir": shared,
             "spark.sql.warehouse.dir": warehouse,
             "spark.sql.shuffle.partitions": "4",
+            "spark.sql.maxMetadataStringLength": "5000",
         },
     )
     yield session
