@@ -10,6 +10,11 @@ SALT = "pepper"
 PLATFORM_NAMES = V.PLATFORMS
 
 
+def seconds(start: str, end: str) -> str:
+    """Elapsed seconds as the double nearest to the microsecond count."""
+    return f"(CAST(epoch_us({end}) - epoch_us({start}) AS DOUBLE) / 1e6)"
+
+
 def quoted(names) -> str:
     return ", ".join(f"'{n}'" for n in names)
 
@@ -42,7 +47,7 @@ CTES.update(
           CAST(date_trunc('month', created_at) AS DATE) AS transaction_month,
           CAST(hour(created_at) AS INT) AS transaction_hour,
           CAST(dayofweek(created_at) AS INT) AS transaction_dow, completed_at,
-          epoch(completed_at - created_at) AS processing_seconds,
+          {seconds('created_at', 'completed_at')} AS processing_seconds,
           error_code, merchant_id, merchant_category
         FROM raw_transactions WHERE amount > 0 AND user_id IS NOT NULL""",
         "stg_users": f"""SELECT user_id, device_id, platform, device_model, signup_date,
@@ -65,13 +70,14 @@ CTES.update(
           MIN(event_timestamp_kst) FILTER (event_name = 'payment_transfer_completed') AS t6
         FROM stg_events GROUP BY user_id
         HAVING COALESCE(t1, t2, t3, t4, t5, t6) IS NOT NULL""",
-        "int_funnel": """SELECT user_id, t1 AS signup_started_at, t3 AS signup_completed_at,
+        "int_funnel": f"""SELECT user_id, t1 AS signup_started_at, t3 AS signup_completed_at,
           t4 AS identity_verified_at, t6 AS first_transfer_completed_at,
           t1 IS NOT NULL AS reached_signup_start, t2 IS NOT NULL AS reached_signup_submit,
           t3 IS NOT NULL AS reached_signup_complete, t4 IS NOT NULL AS reached_identity_verify,
           t5 IS NOT NULL AS reached_first_transfer_start,
           t6 IS NOT NULL AS reached_first_transfer_complete,
-          epoch(t3 - t1) / 60 AS minutes_to_signup, epoch(t6 - t3) / 3600 AS hours_to_first_transfer
+          {seconds('t1', 't3')} / 60 AS minutes_to_signup,
+          {seconds('t3', 't6')} / 3600 AS hours_to_first_transfer
         FROM per_user_steps""",
         "login_days_kst": """SELECT DISTINCT user_id, event_date_kst AS activity_date
         FROM stg_events WHERE event_name = 'auth_login_completed'""",
@@ -140,9 +146,10 @@ CTES.update(
         FROM daily_users u
         LEFT JOIN daily_transactions t ON t.transaction_date = u.activity_date
         LEFT JOIN rolling_users r ON r.activity_date = u.activity_date""",
-        "funnel_counts": """SELECT COUNT(t1) AS n1, COUNT(t2) AS n2, COUNT(t3) AS n3,
+        "funnel_counts": f"""SELECT COUNT(t1) AS n1, COUNT(t2) AS n2, COUNT(t3) AS n3,
           COUNT(t4) AS n4, COUNT(t5) AS n5, COUNT(t6) AS n6,
-          AVG(epoch(t3 - t1) / 60) AS m3, AVG(epoch(t6 - t3) / 3600) * 60 AS m6
+          AVG({seconds('t1', 't3')} / 60) AS m3,
+          AVG({seconds('t3', 't6')} / 3600) * 60 AS m6
         FROM per_user_steps""",
         "funnel_steps": "SELECT * FROM (VALUES "
         + ", ".join(f"({i}, '{text}')" for i, text in enumerate(V.FUNNEL_LABELS, 1))
@@ -365,9 +372,7 @@ MODELS: dict[str, str] = {
     "st4_mask_pii": f"""SELECT * REPLACE (sha256('{SALT}' || user_id) AS user_id,
       sha256('{SALT}' || device_id) AS device_id) FROM raw_users""",
     "i1_int_daily_active_users": "SELECT * FROM int_dau",
-    "i2_int_funnel_conversion": f"""SELECT * REPLACE (
-      {rnd('minutes_to_signup', 6)} AS minutes_to_signup,
-      {rnd('hours_to_first_transfer', 6)} AS hours_to_first_transfer) FROM int_funnel""",
+    "i2_int_funnel_conversion": "SELECT * FROM int_funnel",
     "i3_int_user_cohort": "SELECT * FROM int_cohort",
     "m1_mart_daily_kpi": "SELECT * FROM daily_kpi",
     "m1a_daily_users": "SELECT * FROM daily_users",
@@ -456,10 +461,11 @@ MODELS: dict[str, str] = {
       {rnd('quantile_cont(minutes, 0.25)', 6)} AS p25,
       {rnd('quantile_cont(minutes, 0.5)', 6)} AS p50,
       {rnd('quantile_cont(minutes, 0.75)', 6)} AS p75
-    FROM (SELECT 'signup_started_to_completed' AS transition, epoch(t3 - t1) / 60 AS minutes
+    FROM (SELECT 'signup_started_to_completed' AS transition,
+          {seconds('t1', 't3')} / 60 AS minutes
         FROM per_user_steps
-      UNION ALL SELECT 'signup_completed_to_verified', epoch(t4 - t3) / 60 FROM per_user_steps
-      UNION ALL SELECT 'signup_completed_to_transfer', epoch(t6 - t3) / 60 FROM per_user_steps)
+      UNION ALL SELECT 'signup_completed_to_verified', {seconds('t3', 't4')} / 60 FROM per_user_steps
+      UNION ALL SELECT 'signup_completed_to_transfer', {seconds('t3', 't6')} / 60 FROM per_user_steps)
     WHERE minutes IS NOT NULL GROUP BY transition""",
     "b5_retention_kpi": """SELECT *, CASE WHEN mean_rate >= 60 THEN '양호'
       WHEN mean_rate >= 30 THEN '보통' ELSE '주의' END AS band FROM retention_means""",

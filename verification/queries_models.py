@@ -98,9 +98,7 @@ _MODELS: dict[str, Callable[[Tables], DataFrame]] = {
     "st3_stg_users": lambda t: t.stg_users,
     "st4_mask_pii": lambda t: staging.mask_pii(t.users, SALT),
     "i1_int_daily_active_users": lambda t: t.int_dau,
-    "i2_int_funnel_conversion": lambda t: rounded(
-        t.int_funnel, ["minutes_to_signup", "hours_to_first_transfer"]
-    ),
+    "i2_int_funnel_conversion": lambda t: t.int_funnel,
     "i3_int_user_cohort": lambda t: t.int_cohort,
     "m1_mart_daily_kpi": lambda t: t.daily_kpi,
     "m1a_daily_users": lambda t: activity.daily_users(t.int_dau),
