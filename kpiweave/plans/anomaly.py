@@ -80,15 +80,20 @@ def high_value_txn(
     )
     # No amount at or below ``times`` the smallest mean can qualify. The value is a scalar
     # subquery, so most facts are dropped in the scan and never shuffled.
-    lowest = per_user.where(F.col("_txns") >= min_txns).agg(F.min("user_avg_amount")).scalar()
+    regular_mean = F.when(F.col("_txns") >= min_txns, F.col("user_avg_amount"))
+    lowest = per_user.agg(F.min(regular_mean)).scalar()
     facts = done.where(F.col("amount") > lowest * times).select(
         "transaction_id", "user_id", "transaction_type", "amount", "created_at"
     )
     ratio = F.col("amount") / F.nullif(F.col("user_avg_amount"), F.lit(0.0))
     gap = (F.col("amount") - F.col("user_avg_amount")) / F.nullif(F.col("_std"), F.lit(0.0))
+
+    def is_high(stats):
+        enough = stats["_txns"] >= min_txns
+        return enough & (F.col("amount") > stats["user_avg_amount"] * times)
+
     found = (
-        join_key_stats(facts, per_user, "user_id", "_txns")
-        .where((F.col("_txns") >= min_txns) & (F.col("amount") > F.col("user_avg_amount") * times))
+        join_key_stats(facts, per_user, "user_id", "_txns", where=is_high)
         .select(
             "transaction_id",
             "user_id",

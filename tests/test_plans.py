@@ -105,8 +105,10 @@ def test_funnel_is_one_scan_and_hash_aggregation(lake):
     assert plan.count("FileScan") == 1 and "Union" not in plan and "SortAggregate" not in plan
 
 
-def test_hot_users_are_not_shuffled(lake, no_static_broadcast):
+def test_hot_users_are_spread(lake, no_static_broadcast):
     plan = initial_plan(anomaly.high_value_txn(lake["transactions"]))
     assert "TakeOrderedAndProject" in plan
-    # Facts of hot users meet their statistics by broadcast, the others by a shuffle join.
-    assert "BroadcastHashJoin [user_id" in plan and "SortMergeJoin [user_id" in plan
+    # Hot users meet their statistics by broadcast; the shuffle has a second, spread key.
+    assert "BroadcastHashJoin [user_id" in plan
+    assert re.search(r"SortMergeJoin \[user_id#\d+, _spread#\d+L?\]", plan)
+    assert re.search(r"hashpartitioning\(user_id#\d+, _spread", plan)
