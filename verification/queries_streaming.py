@@ -70,22 +70,29 @@ def alerted(t: Tables) -> DataFrame:
     return current(t, signals, "w6", ["window_start", "rule"], judge)
 
 
-def refreshed(t: Tables) -> tuple[DataFrame, DataFrame]:
-    """Feeds both tables in several batches and returns the two marts they leave behind."""
+def fed_lake(t: Tables, with_events: bool) -> incremental.Lake:
+    """A lake after its feeds have arrived in several batches, transactions first."""
     root = writers.scratch_path(t.spark, "w7")
     lake = incremental.Lake(t.spark, f"{root}/lake", t.stg_users)
-    inbox = {"events": (t.events, "event_timestamp"), "txns": (t.transactions, "created_at")}
-    for name, (df, ts) in inbox.items():
-        writers.write_time_ordered(df, f"{root}/{name}", ts, files=3)
+    writers.write_time_ordered(t.transactions, f"{root}/txns", "created_at", files=3)
     transactions = sinks.read_stream(t.spark, f"{root}/txns", files_per_trigger=2)
-    events = sinks.read_stream(t.spark, f"{root}/events", files_per_trigger=1)
-    incremental.feed_transactions(
-        lake, transactions, events.schema, f"{root}/checkpoint_txns", once=True
-    )
-    incremental.feed_events(
-        lake, events, transactions.schema, f"{root}/checkpoint_events", once=True
-    )
-    return t.spark.read.parquet(lake.daily_kpi_path), t.spark.read.parquet(lake.revenue_path)
+    schema = t.events.schema
+    incremental.feed_transactions(lake, transactions, schema, f"{root}/checkpoint_txns", once=True)
+    if with_events:
+        writers.write_time_ordered(t.events, f"{root}/events", "event_timestamp", files=3)
+        events = sinks.read_stream(t.spark, f"{root}/events", files_per_trigger=2)
+        incremental.feed_events(
+            lake, events, transactions.schema, f"{root}/checkpoint_events", once=True
+        )
+    return lake
+
+
+def refreshed_daily_kpi(t: Tables) -> DataFrame:
+    return t.spark.read.parquet(fed_lake(t, with_events=True).daily_kpi_path)
+
+
+def refreshed_revenue(t: Tables) -> DataFrame:
+    return t.spark.read.parquet(fed_lake(t, with_events=False).revenue_path)
 
 
 _STREAMS = {
@@ -95,8 +102,8 @@ _STREAMS = {
     "w4_stream_active_senders": active_senders,
     "w5_timeliness": punctual,
     "w6_stream_alerts": alerted,
-    "w7_incremental_daily_kpi": lambda t: refreshed(t)[0],
-    "w7_incremental_revenue": lambda t: refreshed(t)[1],
+    "w7_incremental_daily_kpi": refreshed_daily_kpi,
+    "w7_incremental_revenue": refreshed_revenue,
 }
 
 STREAM_QUERIES = {key: on_tables(fn) for key, fn in _STREAMS.items()}
