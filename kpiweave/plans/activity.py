@@ -102,22 +102,34 @@ def rolling_wau(events: DataFrame) -> DataFrame:
     )
 
 
+def _daily_and_monthly(logins: DataFrame, day: str) -> DataFrame:
+    """day, dau, mau from one pass and without a join.
+
+    A user is new to a month on the first active day in it; the month's users are the sum of
+    those over its days.
+    """
+    dated = logins.where(F.col(day).isNotNull())
+    user_days = dated.groupBy("user_id", day).agg(F.lit(1).alias("_one"))
+    before = F.lag(day).over(Window.partitionBy("user_id").orderBy(day))
+    month = month_start(F.col(day))
+    new_to_month = F.coalesce(month_start(F.col("_before")) < month, F.lit(True))
+    daily = (
+        user_days.withColumn("_before", before)
+        .groupBy(day)
+        .agg(
+            F.count("user_id").alias("dau"),
+            F.count_if(F.col("user_id").isNotNull() & new_to_month).alias("_new"),
+        )
+    )
+    users = F.sum("_new").over(Window.partitionBy(month)).alias("mau")
+    return daily.select(day, "dau", users)
+
+
 def stickiness(events: DataFrame) -> DataFrame:
     """DAU against the distinct users of the same calendar month."""
-    user_days = raw_logins(events).groupBy("user_id", "login_date").agg(F.lit(1).alias("_one"))
-    month = month_start(F.col("login_date")).alias("month")
-    daily = user_days.groupBy("login_date", month).agg(F.count("user_id").alias("dau"))
-    monthly = (
-        user_days.groupBy(month, "user_id")
-        .agg(F.lit(1).alias("_one"))
-        .groupBy("month")
-        .agg(F.count("user_id").alias("mau"))
-    )
-    return daily.join(monthly, "month").select(
-        F.col("login_date").alias("dt"),
-        "dau",
-        "mau",
-        pct(F.col("dau"), F.col("mau")).alias("stickiness_pct"),
+    rate = pct(F.col("dau"), F.col("mau")).alias("stickiness_pct")
+    return _daily_and_monthly(raw_logins(events), "login_date").select(
+        F.col("login_date").alias("dt"), "dau", "mau", rate
     )
 
 
@@ -166,12 +178,8 @@ def mau(stg_events: DataFrame) -> DataFrame:
 def dau_mau_ratio(stg_events: DataFrame) -> DataFrame:
     login = stg_events.where(F.col("event_name") == V.LOGIN)
     days = login.select(F.col("event_date_kst").alias("date"), "user_id")
-    daily = conditional_distinct(days, ["date"], "user_id", "dau")
-    return (
-        daily.withColumn("month", month_start(F.col("date")))
-        .join(mau(stg_events), "month")
-        .select("date", "dau", "mau", pct(F.col("dau"), F.col("mau")).alias("ratio"))
-    )
+    ratio = pct(F.col("dau"), F.col("mau")).alias("ratio")
+    return _daily_and_monthly(days, "date").select("date", "dau", "mau", ratio)
 
 
 def dau_decomposition(daily: DataFrame) -> DataFrame:

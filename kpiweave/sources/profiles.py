@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kpiweave.functions import pct, sum_where
+from kpiweave.functions import pct, per
 
 
 def load_summary(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -30,40 +30,42 @@ def event_profile(events: DataFrame, top: int = 15) -> DataFrame:
 def transaction_profile(transactions: DataFrame) -> DataFrame:
     """section, key, n, value: mean amount by type, completed totals, share by status.
 
-    One scan groups by (type, status); the three sections are cut from that small result.
+    One scan groups by (type, status); every section is summed from those few cells.
     """
-    done = F.col("status") == "completed"
     cells = transactions.groupBy("transaction_type", "status").agg(
         F.count("*").alias("n"),
         F.sum("amount").alias("amount"),
         F.count("amount").alias("priced"),
         F.sum("fee").alias("fee"),
     )
+    done = F.col("status") == "completed"
 
-    def section(df: DataFrame, name: str, key, value) -> DataFrame:
-        return df.select(
-            F.lit(name).alias("section"),
+    def part(section: str, key, n, total, base):
+        return F.struct(
+            F.lit(section).alias("section"),
             key.alias("key"),
-            F.col("n"),
-            value.cast("double").alias("value"),
+            n.alias("n"),
+            total.alias("total"),
+            base.alias("base"),
         )
 
-    by_type = cells.groupBy("transaction_type").agg(
-        F.sum("n").alias("n"), (F.sum("amount") / F.sum("priced")).alias("mean")
+    n, zero = F.col("n"), F.lit(0).cast("bigint")
+    done_n = F.when(done, n).otherwise(zero)
+    parts = F.array(
+        part("type", F.col("transaction_type"), n, F.col("amount"), F.col("priced")),
+        part("total", F.lit("gmv"), done_n, F.when(done, F.col("amount")), zero),
+        part("total", F.lit("fee"), done_n, F.when(done, F.col("fee")), zero),
+        part("status", F.col("status"), n, n, zero),
     )
-    totals = cells.agg(
-        F.coalesce(sum_where(F.col("n"), done), F.lit(0)).alias("n"),
-        sum_where(F.col("amount"), done).alias("gmv"),
-        sum_where(F.col("fee"), done).alias("fees"),
+    sums = (
+        cells.select(F.inline(parts))
+        .groupBy("section", "key")
+        .agg(*[F.sum(c).alias(c) for c in ("n", "total", "base")])
     )
-    by_status = cells.groupBy("status").agg(F.sum("n").alias("n"))
-    all_rows = cells.agg(F.sum("n").alias("_all"))
-    status_share = by_status.crossJoin(F.broadcast(all_rows))  # one-row side
-    return (
-        section(by_type, "type", F.col("transaction_type"), F.round("mean", 0))
-        .unionByName(section(totals, "total", F.lit("gmv"), F.col("gmv")))
-        .unionByName(section(totals, "total", F.lit("fee"), F.col("fees")))
-        .unionByName(
-            section(status_share, "status", F.col("status"), pct(F.col("n"), F.col("_all"), 1))
-        )
+    of_section = F.sum("n").over(Window.partitionBy("section"))
+    value = (
+        F.when(F.col("section") == "type", per(F.col("total"), F.col("base"), 0))
+        .when(F.col("section") == "status", pct(n, of_section, 1))
+        .otherwise(F.col("total").cast("double"))
     )
+    return sums.select("section", "key", "n", value.alias("value"))

@@ -294,3 +294,17 @@ def test_decompositions_multiply_back(spark, sf_dir):
     for r in activity.daily_users(t.int_dau).collect():
         # A user is new or returning on a day, never both.
         assert r["new_users"] + r["returning_users"] == r["dau"]
+
+
+def test_monthly_users_over_several_months(spark):
+    rows = [
+        {"at": "2024-01-30T00:00:00", "user_id": "usr_1"},
+        {"at": "2024-01-31T00:00:00", "user_id": "usr_1"},
+        {"at": "2024-01-31T00:00:00", "user_id": "usr_2"},
+        {"at": "2024-02-01T00:00:00", "user_id": "usr_1"},
+        {"at": "2024-04-01T00:00:00", "user_id": "usr_2"},
+        # Nobody known: a day without users, no user of the month.
+        {"at": "2024-04-02T00:00:00", "user_id": None},
+    ]
+    got = H.dicts(activity.stickiness(H.events(spark, rows)), "dt")
+    assert [(r["dau"], r["mau"]) for r in got] == [(1, 2), (2, 2), (1, 1), (1, 1), (0, 1)]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from kpiweave.plans import activity, anomaly, cohorts, funnels, kpi, revenue, staging
 from kpiweave.quality import monitors
-from kpiweave.sources import writers
+from kpiweave.sources import profiles, writers
 from tests import helpers as H
 from verification.queries_models import Tables
 
@@ -112,3 +112,12 @@ def test_hot_users_are_spread(lake, no_static_broadcast):
     assert "BroadcastHashJoin [user_id" in plan
     assert re.search(r"SortMergeJoin \[user_id#\d+, _spread#\d+L?\]", plan)
     assert re.search(r"hashpartitioning\(user_id#\d+, _spread", plan)
+
+
+def test_daily_and_monthly_users_take_one_scan_and_no_join(lake, no_static_broadcast):
+    plan = final_plan(activity.stickiness(lake["events"]))
+    assert plan.count("FileScan") == 1 and "Join" not in plan
+
+
+def test_transaction_profile_is_one_scan(lake):
+    assert final_plan(profiles.transaction_profile(lake["transactions"])).count("FileScan") == 1

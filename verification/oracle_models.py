@@ -7,7 +7,6 @@ from verification.oracle_base import CTES, big, pct, ratio, rnd
 
 AS_OF_DATE = "2024-02-28"
 SALT = "pepper"
-PLATFORM_NAMES = V.PLATFORMS
 
 
 def seconds(start: str, end: str) -> str:
