@@ -219,7 +219,9 @@ def kpi_vs_target(
     """The latest value of each headline KPI against its target."""
     targets = targets or V.TARGETS
     latest = [
-        daily_kpi.agg(F.max_by("dau", "date").alias("value")).select(F.lit("dau").alias("metric"), "value"),
+        daily_kpi.agg(F.max_by("dau", "date").alias("value")).select(
+            F.lit("dau").alias("metric"), "value"
+        ),
         conversion.where(F.col("segment") == "all").select(
             F.lit("signup_conversion_7d").alias("metric"), F.col("rate").alias("value")
         ),

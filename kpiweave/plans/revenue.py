@@ -256,16 +256,18 @@ def gmv_event_based(stg_events: DataFrame) -> DataFrame:
     def grain(name: str, period: Column):
         return F.struct(F.lit(name).alias("grain"), period.alias("period"))
 
-    grains = F.array(grain("day", day), grain("week", week_start(day)), grain("month", month_start(day)))
-    return (
-        daily.select("gmv", F.inline(grains)).groupBy("grain", "period").agg(F.sum("gmv").alias("gmv"))
+    grains = F.array(
+        grain("day", day), grain("week", week_start(day)), grain("month", month_start(day))
     )
+    long = daily.select("gmv", F.inline(grains))
+    return long.groupBy("grain", "period").agg(F.sum("gmv").alias("gmv"))
 
 
 def arppu_by_segment(stg_transactions: DataFrame, stg_users: DataFrame) -> DataFrame:
     """Fee revenue per paying user, by fee tier and by signup month."""
     done, fee = _is("completed"), F.col("fee")
-    user_months = stg_transactions.groupBy("user_id", F.col("transaction_month").alias("month")).agg(
+    month = F.col("transaction_month").alias("month")
+    user_months = stg_transactions.groupBy("user_id", month).agg(
         sum_where(fee, done).alias("fee"),
         F.max((done & (fee > 0)).cast("int")).alias("pays"),
     )

@@ -99,7 +99,9 @@ def schema_drift(df: DataFrame, snapshot: str, table: str) -> DataFrame:
 # --- row rules of the event envelope ------------------------------------------------
 
 
-def envelope_rules(df: DataFrame, event_id_pattern: str | None = V.UUID_PATTERN) -> dict[str, Column]:
+def envelope_rules(
+    df: DataFrame, event_id_pattern: str | None = V.UUID_PATTERN
+) -> dict[str, Column]:
     """Rule name -> condition under which a row breaks it."""
 
     def differs(column: str, pattern: str) -> Column:

@@ -79,7 +79,7 @@ def dq_score(
     duplicate rate takes one key shuffle.
     """
     required = [c for c in V.ENVELOPE_REQUIRED if c in events.columns]
-    nulls = sum((F.count_if(F.col(c).isNull()) for c in required[1:]), F.count_if(F.col(required[0]).isNull()))
+    nulls = F.sum(sum(F.col(c).isNull().cast("int") for c in required))
     broken = broken_rules(envelope_rules(events, event_id_pattern))
     rows = events.agg(
         F.count("*").alias("_rows"),

@@ -146,7 +146,8 @@ def alerts(signals: DataFrame, baseline: DataFrame, least_success_pct: float = 8
     return (
         signals.join(baseline, "rule", "left")
         .withColumn("value", value)
-        .select("window_start", "rule", "value", F.coalesce(low | surge, F.lit(False)).alias("alert"))
+        .withColumn("alert", F.coalesce(low | surge, F.lit(False)))
+        .select("window_start", "rule", "value", "alert")
     )
 
 

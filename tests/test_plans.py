@@ -23,7 +23,8 @@ def lake(spark, sf_dir, tmp_path_factory):
     writers.write_partitioned(dated, f"{root}/events", ["day"])
     t.users.write.parquet(f"{root}/users")
     t.transactions.write.parquet(f"{root}/transactions")
-    return {name: spark.read.parquet(f"{root}/{name}") for name in ("events", "users", "transactions")}
+    names = ("events", "users", "transactions")
+    return {name: spark.read.parquet(f"{root}/{name}") for name in names}
 
 
 def initial_plan(df) -> str:

@@ -50,8 +50,8 @@ def test_user_csv(spark, tmp_path):
 def test_partitions_are_replaced_one_by_one(spark, tmp_path):
     path = str(tmp_path / "p")
     day1, day2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
-    writers.write_partitioned(spark.createDataFrame([(day1, 1), (day2, 2)], "d date, v int"), path, ["d"])
-    writers.write_partitioned(spark.createDataFrame([(day2, 3)], "d date, v int"), path, ["d"])
+    for rows in ([(day1, 1), (day2, 2)], [(day2, 3)]):
+        writers.write_partitioned(spark.createDataFrame(rows, "d date, v int"), path, ["d"])
     rows = {(r["d"], r["v"]) for r in spark.read.parquet(path).collect()}
     assert rows == {(day1, 1), (day2, 3)}
 
@@ -65,7 +65,11 @@ def test_time_ordered_files_follow_each_other(spark, tmp_path):
     spans = (
         spark.read.parquet(path)
         .groupBy(F.input_file_name())
-        .agg(F.min("event_timestamp").alias("a"), F.max("event_timestamp").alias("b"), F.count("*").alias("n"))
+        .agg(
+            F.min("event_timestamp").alias("a"),
+            F.max("event_timestamp").alias("b"),
+            F.count("*").alias("n"),
+        )
         .orderBy("a", "b")
         .collect()
     )

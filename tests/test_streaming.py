@@ -106,7 +106,8 @@ def test_sender_days_and_sketch_agree_with_the_batch(spark, tmp_path):
 
     sketch = transforms.approx_active_senders(stream(spark, source))
     sinks.changelog(sketch, str(tmp_path / "s"), str(tmp_path / "scp"), once=True)
-    got = {r["date"]: r["was_7d"] for r in sinks.latest(spark, str(tmp_path / "s"), ["date"]).collect()}
+    newest = sinks.latest(spark, str(tmp_path / "s"), ["date"])
+    got = {r["date"]: r["was_7d"] for r in newest.collect()}
     assert all(got[d] == n for d, n in exact.items())
 
 
@@ -140,9 +141,8 @@ def test_late_login_refreshes_the_days_it_reaches(spark, tmp_path):
     arrive(H.events(spark, late), source)
     incremental.feed_events(lake, stream(spark, source), tx.schema, cp, once=True)
     arrive(tx, tmp_path / "tx")
-    incremental.feed_transactions(
-        lake, stream(spark, tmp_path / "tx"), H.events(spark, []).schema, str(tmp_path / "cp2"), once=True
-    )
+    money, schema = stream(spark, tmp_path / "tx"), H.events(spark, []).schema
+    incremental.feed_transactions(lake, money, schema, str(tmp_path / "cp2"), once=True)
     whole = kpi.mart_daily_kpi(
         activity.int_daily_active_users(
             staging.stg_events(H.events(spark, early + late)), users
