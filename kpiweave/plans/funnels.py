@@ -112,8 +112,11 @@ def funnel_by_platform(events: DataFrame) -> DataFrame:
     )
 
 
-def time_to_convert(int_funnel: DataFrame) -> DataFrame:
-    """Exact quartiles, in minutes, of the time between funnel steps."""
+MINUTE = 60_000_000  # microseconds
+
+
+def _step_gaps(int_funnel: DataFrame) -> DataFrame:
+    """transition, micros: the time between funnel steps, several rows per user."""
 
     def gap(name: str, start: str, end: str):
         micros = micros_between(F.col(start), F.col(end))
@@ -124,18 +127,33 @@ def time_to_convert(int_funnel: DataFrame) -> DataFrame:
         gap("signup_completed_to_verified", "signup_completed_at", "identity_verified_at"),
         gap("signup_completed_to_transfer", "signup_completed_at", "first_transfer_completed_at"),
     )
-    minute = 60_000_000
+    return int_funnel.select(F.inline(gaps)).where(F.col("micros").isNotNull())
+
+
+def time_to_convert(int_funnel: DataFrame) -> DataFrame:
+    """Exact quartiles, in minutes, of the time between funnel steps."""
     quartiles = exact_percentiles(
-        int_funnel.select(F.inline(gaps)),
+        _step_gaps(int_funnel),
         ["transition"],
         "micros",
         {"p25": 0.25, "p50": 0.5, "p75": 0.75},
-        bucket_width=minute,
+        bucket_width=MINUTE,
     )
-    minutes = [(F.col(p) / minute).alias(p) for p in ("p25", "p50", "p75")]
+    minutes = [(F.col(p) / MINUTE).alias(p) for p in ("p25", "p50", "p75")]
     return quartiles.select("transition", "n", *minutes)
 
 
+def time_to_convert_histogram(int_funnel: DataFrame, bin_minutes: int = 1440) -> DataFrame:
+    """transition, from_minutes, n: users per bin of equal width (negative before zero)."""
+    width = bin_minutes * MINUTE
+    start = F.floor(F.col("micros") / F.lit(width)).cast("bigint") * bin_minutes
+    return (
+        _step_gaps(int_funnel)
+        .groupBy("transition", start.alias("from_minutes"))
+        .agg(F.count("*").alias("n"))
+    )
+
+
 def signup_conversion_7d(
     stg_events: DataFrame,
     segments: Sequence[str] = ("signup_method", "platform"),

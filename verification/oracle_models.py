@@ -78,6 +78,12 @@ CTES.update(
           {seconds('t1', 't3')} / 60 AS minutes_to_signup,
           {seconds('t3', 't6')} / 3600 AS hours_to_first_transfer
         FROM per_user_steps""",
+        "step_gaps": f"""SELECT * FROM (SELECT 'signup_started_to_completed' AS transition,
+          {seconds('t1', 't3')} / 60 AS minutes
+        FROM per_user_steps
+      UNION ALL SELECT 'signup_completed_to_verified', {seconds('t3', 't4')} / 60 FROM per_user_steps
+      UNION ALL SELECT 'signup_completed_to_transfer', {seconds('t3', 't6')} / 60 FROM per_user_steps)
+        WHERE minutes IS NOT NULL""",
         "login_days_kst": """SELECT DISTINCT user_id, event_date_kst AS activity_date
         FROM stg_events WHERE event_name = 'auth_login_completed'""",
         "signup_days": """SELECT u.user_id, u.signup_date, u.signup_week, u.signup_month, u.platform,
@@ -460,12 +466,10 @@ MODELS: dict[str, str] = {
       {rnd('quantile_cont(minutes, 0.25)', 6)} AS p25,
       {rnd('quantile_cont(minutes, 0.5)', 6)} AS p50,
       {rnd('quantile_cont(minutes, 0.75)', 6)} AS p75
-    FROM (SELECT 'signup_started_to_completed' AS transition,
-          {seconds('t1', 't3')} / 60 AS minutes
-        FROM per_user_steps
-      UNION ALL SELECT 'signup_completed_to_verified', {seconds('t3', 't4')} / 60 FROM per_user_steps
-      UNION ALL SELECT 'signup_completed_to_transfer', {seconds('t3', 't6')} / 60 FROM per_user_steps)
-    WHERE minutes IS NOT NULL GROUP BY transition""",
+    FROM step_gaps GROUP BY transition""",
+    "b4_time_to_convert_histogram": """SELECT transition,
+      CAST(floor(minutes / 1440) AS BIGINT) * 1440 AS from_minutes, COUNT(*) AS n
+    FROM step_gaps GROUP BY ALL""",
     "b5_retention_kpi": """SELECT *, CASE WHEN mean_rate >= 60 THEN '양호'
       WHEN mean_rate >= 30 THEN '보통' ELSE '주의' END AS band FROM retention_means""",
     "b6_hour_dow_heatmap": """SELECT transaction_dow AS dow, transaction_hour AS hour,

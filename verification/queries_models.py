@@ -130,6 +130,7 @@ _MODELS: dict[str, Callable[[Tables], DataFrame]] = {
     "b4_time_to_convert": lambda t: rounded(
         funnels.time_to_convert(t.int_funnel), ["p25", "p50", "p75"]
     ),
+    "b4_time_to_convert_histogram": lambda t: funnels.time_to_convert_histogram(t.int_funnel),
     "b5_retention_kpi": lambda t: cohorts.retention_kpi(t.curve),
     "b6_hour_dow_heatmap": lambda t: revenue.hour_dow_heatmap(t.stg_txn),
     "b7_bank_distribution": lambda t: revenue.bank_distribution(t.stg_txn),
