@@ -102,26 +102,25 @@ def evaluate(df: DataFrame, expectations: Sequence[Expectation]) -> DataFrame:
         for i, e in enumerate(expectations)
         for name, expr in e.counts.items()
     ]
-    # Only one-row frames are put side by side from here on.
-    wide = df.agg(*aggs) if aggs else None
+    wide = df.agg(*(aggs or [F.count("*")]))
     for column in sorted({e.distinct_of for e in expectations if e.distinct_of}):
         stats = (
             df.where(F.col(column).isNotNull())
             .groupBy(column)
             .agg(F.count("*").alias("n"))
             .agg(
-                F.count("*").alias(f"{column}__values"),
-                F.coalesce(F.sum("n"), F.lit(0)).alias(f"{column}__present"),
-                F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).alias(
-                    f"{column}__copies"
-                ),
+                F.struct(
+                    F.count("*").alias("values"),
+                    F.coalesce(F.sum("n"), F.lit(0)).alias("present"),
+                    F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).alias("copies"),
+                )
             )
         )
-        wide = stats if wide is None else wide.crossJoin(F.broadcast(stats))
+        wide = wide.withColumn(f"{column}__distinct", stats.scalar())
 
     def reader(i: int, e: Expectation) -> Callable[[str], Column]:
         if e.distinct_of:
-            return lambda name: F.col(f"{e.distinct_of}__{name}")
+            return lambda name: F.col(f"{e.distinct_of}__distinct")[name]
         return lambda name: F.col(f"e{i}_{name}")
 
     rows = []

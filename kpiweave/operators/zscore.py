@@ -11,20 +11,15 @@ from pyspark.sql import functions as F
 def series_stats(daily: DataFrame, metrics: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Adds mean_<m> and std_<m> (sample) of each metric over the whole series or per ``by``.
 
-    ``daily`` has one row per day (and ``by`` value), so its length is the calendar.
+    ``daily`` has one row per day (and ``by`` value): a window, also the one over the whole
+    series, holds no more rows than the calendar has days.
     """
-    if by:
-        scope = Window.partitionBy(*by)
-        extra = {}
-        for m in metrics:
-            extra[f"mean_{m}"] = F.avg(m).over(scope)
-            extra[f"std_{m}"] = F.stddev_samp(m).over(scope)
-        return daily.withColumns(extra)
-    aggs = []
+    scope = Window.partitionBy(*by)
+    extra = {}
     for m in metrics:
-        aggs += [F.avg(m).alias(f"mean_{m}"), F.stddev_samp(m).alias(f"std_{m}")]
-    # An aggregate without keys is one row by construction, so this side is safe to ship.
-    return daily.crossJoin(F.broadcast(daily.agg(*aggs)))
+        extra[f"mean_{m}"] = F.avg(m).over(scope)
+        extra[f"std_{m}"] = F.stddev_samp(m).over(scope)
+    return daily.withColumns(extra)
 
 
 def zscore(metric: str) -> Column:

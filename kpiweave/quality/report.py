@@ -91,13 +91,13 @@ def dq_score(
         events.where(F.col("event_id").isNotNull())
         .groupBy("event_id")
         .agg(F.count("*").alias("n"))
-        .agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("_copies"))
+        .agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)))
     )
 
     def rate(part, times: int = 1):
         return F.try_divide(F.col(part).cast("double"), (F.col("_rows") * times).cast("double"))
 
-    measured = rows.crossJoin(F.broadcast(ids)).select(  # one row each
+    measured = rows.withColumn("_copies", ids.scalar()).select(
         rate("_nulls", len(required)).alias("null_rate"),
         rate("_copies").alias("duplicate_rate"),
         rate("_compliant").alias("compliance_rate"),
