@@ -19,4 +19,49 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM h
 """
 
-ORACLE = {"op1_warc": OP1_WARC}
+_ABC = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+
+def _lower(text: str) -> str:
+    return f"translate(COALESCE({text}, ''), {_ABC})"
+
+
+_ALNUM = rf"regexp_extract_all({_lower('text')}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+_BLANK = r"[^\x20\x09-\x0D]+"
+
+OP2_DECONTAMINATE = f"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, doc_id, {_ALNUM} AS w FROM documents
+), i AS (
+    SELECT item_id, {_ALNUM} AS w FROM benchmark WHERE item_id IS NOT NULL
+), win AS (
+    SELECT DISTINCT item_id, least(10, len(w)) AS n,
+           array_to_string(w[s : s + least(10, len(w)) - 1], ' ') AS p
+    FROM i, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS t(s)
+    WHERE len(w) > 0
+), lens AS (
+    SELECT DISTINCT n FROM win
+), dwin AS (
+    SELECT r, s, n, array_to_string(w[s : s + n - 1], ' ') AS p
+    FROM d, lens, unnest(range(1, len(w) - n + 2)) AS t(s)
+), hit AS (
+    SELECT r, s, n, item_id FROM dwin JOIN win USING (n, p)
+), words AS (
+    SELECT r, COUNT(DISTINCT s + j) AS n_hit
+    FROM hit, unnest(range(0, n)) AS t(j) GROUP BY r
+), items AS (
+    SELECT r, COUNT(*) AS n_items, string_agg(x, ',' ORDER BY x) AS ids
+    FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS x FROM hit) GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+       CAST(COALESCE(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(COALESCE(n_items, 0) AS BIGINT) AS n_items,
+       sha256(COALESCE(ids, '')) AS items_sha256,
+       COALESCE(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)
+"""
+
+ORACLE = {
+    "op1_warc": OP1_WARC,
+    "op2_decontaminate": OP2_DECONTAMINATE,
+}

@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from kpiweave.llm import warc
+from kpiweave.llm import decontaminate, warc
 from kpiweave.llm.common import scratch, table
 
 
@@ -15,4 +14,12 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read(spark, path, with_payload=False).drop("url")
 
 
-QUERIES = {"op1_warc": op1_warc}
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.report(decontaminate.hits(documents, items))
+
+
+QUERIES = {
+    "op1_warc": op1_warc,
+    "op2_decontaminate": op2_decontaminate,
+}
