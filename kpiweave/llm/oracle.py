@@ -61,7 +61,33 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
 FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)
 """
 
+OP8_SUBSTRINGS = f"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, doc_id,
+           regexp_extract_all(COALESCE(text, ''), '{_BLANK}') AS w
+    FROM documents
+), win AS (
+    SELECT r, doc_id, s, md5(array_to_string(w[s : s + 49], ' ')) AS p
+    FROM d, unnest(range(1, len(w) - 48)) AS t(s)
+), dup AS (
+    SELECT r, s FROM (SELECT *, MIN(doc_id) OVER (PARTITION BY p) AS f FROM win)
+    WHERE f < doc_id
+), gone AS (
+    SELECT DISTINCT r, s + j AS i FROM dup, unnest(range(0, 50)) AS t(j)
+), kept AS (
+    SELECT r, string_agg(x.word, ' ' ORDER BY x.i) AS k, COUNT(*) AS n
+    FROM (SELECT r, i, w[i] AS word FROM d, unnest(range(1, len(w) + 1)) AS t(i)) AS x
+    ANTI JOIN gone USING (r, i)
+    GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+       CAST(len(w) - COALESCE(n, 0) AS BIGINT) AS n_removed,
+       sha256(COALESCE(k, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)
+"""
+
 ORACLE = {
     "op1_warc": OP1_WARC,
     "op2_decontaminate": OP2_DECONTAMINATE,
+    "op8_substrings": OP8_SUBSTRINGS,
 }

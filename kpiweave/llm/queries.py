@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kpiweave.llm import decontaminate, jaccard, toxicity, warc
+from kpiweave.llm import decontaminate, jaccard, substrings, toxicity, warc
 from kpiweave.llm.common import scratch, table
 
 
@@ -19,6 +19,10 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(decontaminate.hits(documents, items))
 
 
+def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.report(table(spark, sf_dir, "documents"))
+
+
 def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.report(table(spark, sf_dir, "documents"))
 
@@ -30,6 +34,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_decontaminate": op2_decontaminate,
+    "op8_substrings": op8_substrings,
     "op9_jaccard": op9_jaccard,
     "op10_toxicity": op10_toxicity,
 }
