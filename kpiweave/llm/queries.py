@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kpiweave.llm import decontaminate, jaccard, substrings, toxicity, warc
+from kpiweave.llm import decontaminate, jaccard, mixing, secrets, substrings, toxicity, warc
 from kpiweave.llm.common import scratch, table
 
 
@@ -19,6 +19,14 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(decontaminate.hits(documents, items))
 
 
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(table(spark, sf_dir, "documents"))
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.production_mix(table(spark, sf_dir, "documents")).drop("text", "n_chars")
+
+
 def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.report(table(spark, sf_dir, "documents"))
 
@@ -34,6 +42,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_decontaminate": op2_decontaminate,
+    "op5_secrets": op5_secrets,
+    "op6_mixing": op6_mixing,
     "op8_substrings": op8_substrings,
     "op9_jaccard": op9_jaccard,
     "op10_toxicity": op10_toxicity,
