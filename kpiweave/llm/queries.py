@@ -4,7 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kpiweave.llm import decontaminate, jaccard, mixing, secrets, substrings, toxicity, warc
+from kpiweave.llm import (
+    decontaminate,
+    jaccard,
+    mixing,
+    pagetext,
+    secrets,
+    substrings,
+    toxicity,
+    warc,
+)
 from kpiweave.llm.common import scratch, table
 
 
@@ -19,6 +28,10 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(decontaminate.hits(documents, items))
 
 
+def op4_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pagetext.report(table(spark, sf_dir, "pages"))
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(table(spark, sf_dir, "documents"))
 
@@ -42,6 +55,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_decontaminate": op2_decontaminate,
+    "op4_page_text": op4_page_text,
     "op5_secrets": op5_secrets,
     "op6_mixing": op6_mixing,
     "op8_substrings": op8_substrings,
