@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from kpiweave.llm import (
+    ann,
     decontaminate,
     jaccard,
     mixing,
@@ -28,6 +29,10 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(decontaminate.hits(documents, items))
 
 
+def op3_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.report(table(spark, sf_dir, "embeddings"))
+
+
 def op4_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pagetext.report(table(spark, sf_dir, "pages"))
 
@@ -55,6 +60,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_decontaminate": op2_decontaminate,
+    "op3_nearest": op3_nearest,
     "op4_page_text": op4_page_text,
     "op5_secrets": op5_secrets,
     "op6_mixing": op6_mixing,
