@@ -97,7 +97,7 @@ class Order:
     """The global order of shingles and its fragments."""
 
     def __init__(self, weights: np.ndarray, fragments: int) -> None:
-        self.weights = weights
+        self.weights, self.fragments = weights, fragments
         by_weight = np.argsort(weights, kind="stable")
         reached = np.cumsum(weights[by_weight])
         self.fragment = np.zeros(len(weights), np.int8)
@@ -131,25 +131,49 @@ def _prefix_rows(order) -> object:
     return rows
 
 
+def _wanted_rows(wanted) -> object:
+    """The prefix shingles that the filter knows, a row each."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("prefix")
+            h = lists.flatten().to_numpy(zero_copy_only=False)
+            size = lists.value_lengths().to_numpy(zero_copy_only=False)
+            of = np.repeat(np.arange(batch.num_rows), size)
+            pos = np.arange(len(h)) - np.repeat(np.cumsum(size) - size, size)
+            take = np.flatnonzero(bloom.has(wanted.value, h))
+            where = pa.array(of[take])
+            columns = [batch.column("sid").take(where), batch.column("n").take(where)]
+            columns += [pa.array(pos[take].astype(np.int32)), pa.array(h[take])]
+            yield pa.record_batch(columns, names=["sid", "n", "pos", "h"])
+
+    return rows
+
+
 def _segment_rows(order, wanted) -> object:
+    """The segments of the sets that the filter knows, a row per fragment."""
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = int(order.value.fragments)
         for batch in batches:
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
             kept = batch.filter(pa.array(bloom.has(wanted.value, ids)))
             for part in tokens.slices(kept, "text"):
                 w = tokens.words(part.column("text"), tokens.PLAIN_LOWER)
                 text, h = shingle_sets(w)
-                size, d1, d2 = _digests(text, h, part.num_rows)
+                summary = _digests(text, h, part.num_rows)
                 cut = order.value.fragment[_cells(h)]
                 segments = []
-                for i, (a, b) in enumerate(zip(*_ends(text, part.num_rows))):
+                for a, b in zip(*_ends(text, part.num_rows)):
                     own, at = h[a:b], cut[a:b]
-                    parts = range(int(order.value.fragment.max()) + 1)
-                    segments.append([own[at == f].tobytes() for f in parts])
-                yield pa.record_batch(
-                    [part.column("doc_id"), size, d1, d2, pa.array(segments, pa.list_(pa.binary()))],
-                    names=["rep", "n", "d1", "d2", "segments"],
-                )
+                    segments += [own[at == f].tobytes() for f in range(parts)]
+                again = np.repeat(np.arange(part.num_rows), parts)
+                columns = [part.column("doc_id").take(pa.array(again))]
+                columns += [pa.array(x[again]) for x in summary]
+                columns.append(pa.array(np.tile(np.arange(parts, dtype=np.int32), part.num_rows)))
+                columns.append(pa.array(segments, pa.binary()))
+                names = ["rep", "n", "d1", "d2", "f", "segment"]
+                yield pa.record_batch(columns, names=names)
 
     return rows
 
@@ -170,24 +194,23 @@ def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 at = np.minimum(np.searchsorted(a, b), len(a) - 1)
                 found[i] = np.count_nonzero(a[at] == b)
         yield pa.record_batch(
-            [batch.column("a"), batch.column("b"), batch.column("both"), found],
-            names=["a", "b", "both", "overlap"],
+            [*(batch.column(c) for c in ("a", "b", "f", "both")), pa.array(found)],
+            names=["a", "b", "f", "both", "overlap"],
         )
 
 
-def _verified(pairs: DataFrame, segments: DataFrame) -> DataFrame:
-    """a, b of the ``pairs`` that link: overlaps per fragment, summed."""
-    here = segments.select(F.col("sid").alias("a"), "f", F.col("n").alias("na"), F.col("segment").alias("left"))
-    there = segments.select(F.col("sid").alias("b"), "f", F.col("n").alias("nb"), F.col("segment").alias("right"))
-    fragments = F.explode(F.sequence(F.lit(0), F.lit(FRAGMENTS - 1))).alias("f")
-    met = pairs.select("a", "b", fragments).join(here, ["a", "f"]).join(there, ["b", "f"])
-    both = (F.col("na") + F.col("nb")).alias("both")
-    close = 5 * F.least("na", "nb") >= 4 * F.greatest("na", "nb")
-    counted = met.where(close).select("a", "b", both, "left", "right").mapInArrow(
-        _overlaps, "a bigint, b bigint, both bigint, overlap bigint"
-    )
-    summed = counted.groupBy("a", "b", "both").agg(F.sum("overlap").alias("overlap"))
-    return summed.where(9 * F.col("overlap") >= 4 * F.col("both")).select("a", "b")
+def _close() -> object:
+    return 5 * F.least("n", "n2") >= 4 * F.greatest("n", "n2")
+
+
+def _needed() -> object:
+    """How many shingles the prefixes of sets of n and n2 must have in common. Past the prefix
+    that ends first in the order, at most the rest of its set can still be shared."""
+
+    def rest(n):
+        return F.floor((4 * F.col(n) + 4) / 5) - 1
+
+    return F.ceil(4 * (F.col("n") + F.col("n2")) / 9) - F.greatest(rest("n"), rest("n2"))
 
 
 class Join:
@@ -195,6 +218,7 @@ class Join:
 
     def __init__(self, documents: DataFrame, fragments: int = FRAGMENTS) -> None:
         self.texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+        self.fragments = fragments
         context = documents.sparkSession.sparkContext
         made = stored(
             self.texts.mapInArrow(
@@ -219,8 +243,17 @@ class Join:
             _prefix_rows(self.order),
             "rep bigint, n bigint, d1 bigint, d2 bigint, prefix array<bigint>",
         )
-        own = rows.join(self.classes, ["rep", "d1", "d2", "n"])
-        flat = own.select("sid", "n", F.posexplode("prefix").alias("pos", "h"))
+        keyed = rows.join(self.classes, ["rep", "d1", "d2", "n"])
+        own = stored(keyed.select("sid", "n", "prefix"), "prefixes")
+        # Most shingles are in one set only. A first, narrow grouping finds the others.
+        every = own.select("sid", F.explode("prefix").alias("h")).groupBy("h")
+        spread = every.agg(F.min("sid").alias("low"), F.max("sid").alias("high"))
+        shared = stored(spread.where("low < high").select("h"), "shared-shingles")
+        wanted = own.sparkSession.sparkContext.broadcast(bloom.build(shared, "h"))
+        flat = stored(
+            own.mapInArrow(_wanted_rows(wanted), "sid bigint, n bigint, pos int, h bigint"),
+            "shared-prefixes",
+        )
         mark = F.col("h").bitwiseAND(255)  # a second key, see graph._least
         rank = F.shiftleft(F.least("pos", F.lit(8191)).cast("bigint"), SID_BITS) + F.col("sid")
         met = flat.groupBy("h").agg(
@@ -229,36 +262,24 @@ class Join:
             F.max("sid").alias("high"),
             F.max(mark).alias("k"),
         )
-        shared = met.where("low < high").select(
+        leaders = met.where("low < high").select(
             "h", "k", F.col("first").bitwiseAND((1 << SID_BITS) - 1).alias("leader")
         )
-        return flat.withColumn("k", mark).join(shared, ["h", "k"]).drop("k")
+        return flat.withColumn("k", mark).join(leaders, ["h", "k"]).drop("k")
 
-    def _segments(self, pairs: DataFrame) -> DataFrame:
-        """sid, n, f, segment of every class in ``pairs``."""
-        named = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
-        involved = stored(named.join(self.classes, "sid"), "involved")
-        wanted = self.texts.sparkSession.sparkContext.broadcast(bloom.build(involved, "rep"))
-        rows = self.texts.where("doc_id IS NOT NULL").mapInArrow(
-            _segment_rows(self.order, wanted),
-            "rep bigint, n bigint, d1 bigint, d2 bigint, segments array<binary>",
+    def _stars(self, postings: DataFrame) -> DataFrame:
+        """a, b: every set with the leaders it may link with, judged by the share of its prefix
+        that they lead. This need not find all: what it leaves out, ``_crossing`` looks at."""
+        met = postings.where("sid <> leader").groupBy("sid", "leader").agg(
+            F.max("n").alias("n"), F.count("*").alias("common")
         )
-        kept = rows.join(involved, ["rep", "d1", "d2", "n"]).dropDuplicates(["sid"])
-        return kept.select("sid", "n", F.posexplode("segments").alias("f", "segment"))
-
-    def _links(self) -> DataFrame:
-        postings = stored(self._postings(), "postings")
-        a, b = F.least("sid", "leader").alias("a"), F.greatest("sid", "leader").alias("b")
-        stars = stored(postings.where("sid <> leader").select(a, b).distinct(), "stars")
-        first = stored(_verified(stars, stored(self._segments(stars), "segments")), "links")
-        rest = stored(self._crossing(postings, components(first)).join(stars, ["a", "b"], "left_anti"), "rest")
-        if rest.isEmpty():
-            return first
-        second = _verified(rest, stored(self._segments(rest), "segments"))
-        return stored(first.union(second), "links")
+        sizes = self.classes.select(F.col("sid").alias("leader"), F.col("n").alias("n2"))
+        likely = met.join(sizes, "leader").where(_close()).where(2 * F.col("common") >= _needed())
+        return likely.select(F.least("sid", "leader").alias("a"), F.greatest("sid", "leader").alias("b")).distinct()
 
     def _crossing(self, postings: DataFrame, parts: DataFrame) -> DataFrame:
-        """a, b: pairs in different components that share a prefix shingle and may link."""
+        """a, b: all pairs in different components that may link, by the bounds on lengths, on
+        places and on the shingles that their prefixes have in common."""
         root = parts.withColumnRenamed("u", "sid")
         rooted = postings.join(root, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
         mark = F.col("h").bitwiseAND(255)
@@ -268,17 +289,56 @@ class Join:
             .where("low < high")
             .select("h", "k")
         )
-        left = stored(rooted.withColumn("k", mark).join(mixed, ["h", "k"]), "mixed")
+        left = stored(rooted.withColumn("k", mark).join(mixed, ["h", "k"]).drop("k"), "mixed")
         names = {"sid": "sid2", "n": "n2", "pos": "pos2", "root": "root2"}
-        right = left.drop("leader", "k").withColumnsRenamed(names)
+        right = left.drop("leader").withColumnsRenamed(names)
+        met = left.join(right, "h").where(F.col("root") < F.col("root2")).where(_close())
         most = F.least(F.col("n") - F.col("pos"), F.col("n2") - F.col("pos2"))
-        may = (
-            (F.col("root") < F.col("root2"))
-            & (5 * F.least("n", "n2") >= 4 * F.greatest("n", "n2"))
-            & (9 * most >= 4 * (F.col("n") + F.col("n2")))
+        counted = met.groupBy("sid", "sid2").agg(
+            F.max("n").alias("n"),
+            F.max("n2").alias("n2"),
+            F.max(most).alias("most"),  # at the first shingle in common
+            F.count("*").alias("common"),
         )
-        pairs = left.join(right, "h").where(may)
-        return pairs.select(F.least("sid", "sid2").alias("a"), F.greatest("sid", "sid2").alias("b")).distinct()
+        enough = 9 * F.col("most") >= 4 * (F.col("n") + F.col("n2"))
+        may = counted.where(enough & (F.col("common") >= _needed()))
+        return may.select(F.least("sid", "sid2").alias("a"), F.greatest("sid", "sid2").alias("b")).distinct()
+
+    def _verified(self, pairs: DataFrame) -> DataFrame:
+        """a, b of the ``pairs`` that link: overlaps per fragment, summed."""
+        named = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
+        involved = stored(named.join(self.classes, "sid"), "involved")
+        wanted = self.texts.sparkSession.sparkContext.broadcast(bloom.build(involved, "rep"))
+        segments = self.texts.where("doc_id IS NOT NULL").mapInArrow(
+            _segment_rows(self.order, wanted),
+            "rep bigint, n bigint, d1 bigint, d2 bigint, f int, segment binary",
+        )
+        key = ["rep", "n", "d1", "d2", "f"]
+        of = {s: self.classes.select(*[F.col(c).alias(f"{c}_{s}" if c != "sid" else s) for c in self.classes.columns]) for s in "ab"}
+        close = 5 * F.least("n_a", "n_b") >= 4 * F.greatest("n_a", "n_b")
+        both = pairs.join(of["a"], "a").join(of["b"], "b").where(close)
+        cut = stored(both, "pairs").withColumn("f", F.explode(F.sequence(F.lit(0), F.lit(self.fragments - 1))))
+        for side, name in (("a", "left"), ("b", "right")):
+            renamed = segments.withColumnsRenamed(
+                {**{c: f"{c}_{side}" for c in key[:-1]}, "segment": name}
+            )
+            cut = cut.join(renamed, [*[f"{c}_{side}" for c in key[:-1]], "f"])
+        sized = cut.select("a", "b", "f", (F.col("n_a") + F.col("n_b")).alias("both"), "left", "right")
+        counted = sized.mapInArrow(
+            _overlaps, "a bigint, b bigint, f int, both bigint, overlap bigint"
+        )
+        # Repeated rows of one id bring a fragment twice: it counts once.
+        once = counted.groupBy("a", "b", "f").agg(F.max("both").alias("both"), F.max("overlap").alias("overlap"))
+        summed = once.groupBy("a", "b").agg(F.max("both").alias("both"), F.sum("overlap").alias("overlap"))
+        return summed.where(9 * F.col("overlap") >= 4 * F.col("both")).select("a", "b")
+
+    def _links(self) -> DataFrame:
+        postings = stored(self._postings(), "postings")
+        stars = stored(self._stars(postings), "stars")
+        first = stored(self._verified(stars), "links")
+        crossing = self._crossing(postings, components(first))
+        rest = stored(crossing.join(stars, ["a", "b"], "left_anti"), "crossing")
+        return stored(first.union(self._verified(rest)), "links")
 
     def _one_id(self) -> DataFrame:
         """a, b: classes that hold texts of the same id; few, if ids are meant to be unique."""
