@@ -8,6 +8,7 @@ from kpiweave.llm import (
     ann,
     decontaminate,
     jaccard,
+    language_model,
     mixing,
     pagetext,
     secrets,
@@ -45,6 +46,10 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.production_mix(table(spark, sf_dir, "documents")).drop("text", "n_chars")
 
 
+def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.report(table(spark, sf_dir, "documents"))
+
+
 def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.report(table(spark, sf_dir, "documents"))
 
@@ -64,6 +69,7 @@ QUERIES = {
     "op4_page_text": op4_page_text,
     "op5_secrets": op5_secrets,
     "op6_mixing": op6_mixing,
+    "op7_language_model": op7_language_model,
     "op8_substrings": op8_substrings,
     "op9_jaccard": op9_jaccard,
     "op10_toxicity": op10_toxicity,
