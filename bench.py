@@ -35,12 +35,21 @@ HEADLINE = [
     "d36_schema_compliance",
     "d40_quality_report",
 ]
+#: the plans that a review found heaviest; timed beside the headline, not in its total
+WORST = [
+    "b4_time_to_convert_dist",
+    "k20_kpi_vs_target",
+    "d31_export_validation",
+    "w6_stream_alerts",
+    "w7_incremental_daily_kpi",
+    "s9_time_ordered_write",
+]
 RUNS = 3
 
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
-    chosen = sys.argv[1:] or HEADLINE
+    chosen = sys.argv[1:] or [*HEADLINE, *WORST]
     spark = local_session(os.environ.get("BENCH_CPUS", "8"))
     times: dict[str, float] = {}
     for key in chosen:
@@ -56,7 +65,7 @@ def main() -> None:
         json.dumps(
             {
                 "metric": "headline_queries_total_seconds",
-                "value": round(sum(times.values()), 3),
+                "value": round(sum(t for k, t in times.items() if k not in WORST), 3),
                 "unit": "sec",
                 "queries": times,
                 "sf": os.path.basename(sf_dir.rstrip("/")),

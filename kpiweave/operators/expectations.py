@@ -102,7 +102,7 @@ def evaluate(df: DataFrame, expectations: Sequence[Expectation]) -> DataFrame:
         for i, e in enumerate(expectations)
         for name, expr in e.counts.items()
     ]
-    wide = df.agg(*(aggs or [F.count("*")]))
+    wide = df.agg(*aggs) if aggs else df.sparkSession.range(1)
     for column in sorted({e.distinct_of for e in expectations if e.distinct_of}):
         stats = (
             df.where(F.col(column).isNotNull())

@@ -76,12 +76,14 @@ def high_value_txn(
             exact_avg(F.col("amount")).alias("user_avg_amount"),
             F.stddev_samp("amount").alias("_std"),
             F.count("*").alias("_txns"),
+            F.max("amount").alias("_most"),
         )
+        # Only users whose largest amount qualifies can have a row: few are left to join.
+        .where((F.col("_txns") >= min_txns) & (F.col("_most") > F.col("user_avg_amount") * times))
+        .drop("_most")
     )
-    # No amount at or below ``times`` the smallest mean can qualify. The value is a scalar
-    # subquery, so most facts are dropped in the scan and never shuffled.
-    regular_mean = F.when(F.col("_txns") >= min_txns, F.col("user_avg_amount"))
-    lowest = per_user.agg(F.min(regular_mean)).scalar()
+    # What is at or below ``times`` the smallest mean of those is dropped in the scan.
+    lowest = per_user.agg(F.min("user_avg_amount")).scalar()
     facts = done.where(F.col("amount") > lowest * times).select(
         "transaction_id", "user_id", "transaction_type", "amount", "created_at"
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,24 +20,28 @@ from kpiweave.plans.activity import raw_logins
 COHORT = ["signup_week", "signup_month", "platform"]
 
 
-def int_user_cohort(stg_users: DataFrame, stg_events: DataFrame) -> DataFrame:
-    """Every signup with each of its active local days; users never seen keep one row."""
+def int_user_cohort(
+    stg_users: DataFrame, stg_events: DataFrame, cohort: Sequence[str] = COHORT
+) -> DataFrame:
+    """Every signup with each of its active local days; users never seen keep one row.
+
+    ``cohort``: columns of the users that make up a cohort."""
     activity = (
         stg_events.where(F.col("event_name") == V.LOGIN)
         .select("user_id", F.col("event_date_kst").alias("activity_date"))
         .distinct()
     )
-    signups = stg_users.select("user_id", "signup_date", *COHORT)
-    keys = ["user_id", "signup_date", *COHORT, "activity_date", "days_since_signup"]
+    signups = stg_users.select("user_id", "signup_date", *cohort)
+    keys = ["user_id", "signup_date", *cohort, "activity_date", "days_since_signup"]
     joined = signup_activity(signups, activity, "left")
     # The join left the rows by user, so this grouping needs no further exchange.
     return joined.groupBy(*keys).agg(*n_day_flags(V.RETENTION_DAYS, "retained_d"))
 
 
-def mart_retention(int_cohort: DataFrame) -> DataFrame:
-    """Cohort (week, month, platform): all signups are the base, also the never active."""
+def mart_retention(int_cohort: DataFrame, cohort: Sequence[str] = COHORT) -> DataFrame:
+    """Per cohort: all signups are the base, also the never active."""
     return n_day_retention(
-        int_cohort, COHORT, V.RETENTION_DAYS, "retained_d{n}_users", "retention_d{n}"
+        int_cohort, cohort, V.RETENTION_DAYS, "retained_d{n}_users", "retention_d{n}"
     )
 
 

@@ -263,6 +263,34 @@ def gmv_event_based(stg_events: DataFrame) -> DataFrame:
     return long.groupBy("grain", "period").agg(F.sum("gmv").alias("gmv"))
 
 
+def gmv_by_segment(stg_events: DataFrame) -> DataFrame:
+    """The same by transaction type and by platform: one scan, the rest over daily sums."""
+    name, day = F.col("event_name"), F.col("event_date_kst")
+    sold = stg_events.where(name.isin(V.TRANSFER_DONE, V.QR_DONE))
+    kind = F.when(name == V.QR_DONE, "qr_payment").otherwise("transfer")
+    daily = sold.groupBy("event_date_kst", kind.alias("kind"), "platform").agg(
+        F.sum("amount").alias("gmv")
+    )
+
+    def rows(**fields: Column) -> Column:
+        return F.struct(*[c.alias(n) for n, c in fields.items()])
+
+    platform = F.coalesce("platform", F.lit("unknown"))
+    segments = F.array(
+        rows(segment=F.lit("transaction_type"), value=F.col("kind")),
+        rows(segment=F.lit("platform"), value=platform),
+    )
+    grains = F.array(
+        rows(grain=F.lit("day"), period=day),
+        rows(grain=F.lit("week"), period=week_start(day)),
+        rows(grain=F.lit("month"), period=month_start(day)),
+    )
+    long = daily.select("event_date_kst", "gmv", F.inline(segments)).select(
+        "segment", "value", "gmv", F.inline(grains)
+    )
+    return long.groupBy("segment", "value", "grain", "period").agg(F.sum("gmv").alias("gmv"))
+
+
 def arppu_by_segment(stg_transactions: DataFrame, stg_users: DataFrame) -> DataFrame:
     """Fee revenue per paying user, by fee tier and by signup month."""
     done, fee = _is("completed"), F.col("fee")

@@ -27,8 +27,14 @@ def not_test_account(name: str = "user_id"):
     return ~F.col(name).startswith(V.TEST_ACCOUNT_PREFIX)
 
 
+def _text(events: DataFrame, name: str):
+    """A property as text; NULL where the events have no such column."""
+    there = f"prop_{name}" in events.columns
+    return (F.col(f"prop_{name}") if there else F.lit(None).cast("string")).alias(name)
+
+
 def stg_events(events: DataFrame, tz_offset_hours: int = 9) -> DataFrame:
-    utc = F.col("event_timestamp").cast(NTZ)
+    utc = F.col("event_timestamp").try_cast(NTZ)
     local = kst(utc, tz_offset_hours)
     return events.where(not_test_account() & F.col("event_name").isNotNull()).select(
         "event_id",
@@ -37,7 +43,7 @@ def stg_events(events: DataFrame, tz_offset_hours: int = 9) -> DataFrame:
         local.alias("event_timestamp_kst"),
         local.cast("date").alias("event_date_kst"),
         F.hour(local).alias("event_hour_kst"),
-        F.col("received_at").cast(NTZ).alias("received_at"),
+        F.col("received_at").try_cast(NTZ).alias("received_at"),
         "user_id",
         "session_id",
         "device_id",
@@ -55,12 +61,13 @@ def stg_events(events: DataFrame, tz_offset_hours: int = 9) -> DataFrame:
         F.col("prop_transfer_type").alias("transfer_type"),
         safe_long(events, "prop_fee").alias("fee"),
         safe_int(events, "prop_latency_ms").alias("latency_ms"),
+        *[_text(events, name) for name in ("referrer", "campaign_id", "login_method")],
     )
 
 
 def stg_transactions(transactions: DataFrame) -> DataFrame:
-    created = F.col("created_at").cast(NTZ)
-    completed = F.col("completed_at").cast(NTZ)
+    created = F.col("created_at").try_cast(NTZ)
+    completed = F.col("completed_at").try_cast(NTZ)
     day = created.cast("date")
     # Only positive amounts pass, so their absolute value is the amount itself.
     return transactions.where((F.col("amount") > 0) & F.col("user_id").isNotNull()).select(

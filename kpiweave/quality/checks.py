@@ -40,8 +40,9 @@ def violation_counts(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
 
 
 def duplicates(df: DataFrame, key: str) -> DataFrame:
-    """Key values that occur more than once; copies are combined before the shuffle."""
-    counted = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("cnt"))
+    """Key values that occur more than once, NULL among them; copies are combined before the
+    shuffle."""
+    counted = df.groupBy(key).agg(F.count("*").alias("cnt"))
     return counted.where(F.col("cnt") > 1)
 
 

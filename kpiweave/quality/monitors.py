@@ -104,17 +104,18 @@ def envelope_rules(
 ) -> dict[str, Column]:
     """Rule name -> condition under which a row breaks it."""
 
+    def value(column: str) -> Column:
+        return F.col(column) if column in df.columns else F.lit(None).cast("string")
+
     def differs(column: str, pattern: str) -> Column:
-        return ~F.col(column).rlike(pattern)
+        return ~value(column).rlike(pattern)
 
-    rules = {
-        f"required:{c}": F.col(c).isNull() for c in V.ENVELOPE_REQUIRED if c in df.columns
-    }
+    rules = {f"required:{c}": missing_field(df, c) for c in V.ENVELOPE_REQUIRED}
     if event_id_pattern:
         rules["format:event_id"] = differs("event_id", event_id_pattern)
     rules |= {
-        "enum:event_name": ~F.col("event_name").isin(*V.EVENT_NAMES),
-        "enum:platform": ~F.col("platform").isin(*V.PLATFORMS),
+        "enum:event_name": ~value("event_name").isin(*V.EVENT_NAMES),
+        "enum:platform": ~value("platform").isin(*V.PLATFORMS),
         "pattern:user_id": differs("user_id", V.USER_ID_PATTERN),
         "pattern:session_id": differs("session_id", V.SESSION_ID_PATTERN),
         "pattern:device_id": differs("device_id", V.DEVICE_ID_PATTERN),
@@ -125,6 +126,15 @@ def envelope_rules(
     return rules
 
 
+def missing_field(df: DataFrame, column: str) -> Column:
+    """Whether a row lacks an envelope field: always, if there is no such column. The payload
+    may be there as flat ``prop_*`` columns instead."""
+    if column in df.columns:
+        return F.col(column).isNull()
+    flat = column == "event_properties" and any(c.startswith("prop_") for c in df.columns)
+    return F.lit(not flat)
+
+
 def broken_rules(rules: Mapping[str, Column]) -> Column:
     """Array of the names of the rules that a row breaks."""
     return F.array_compact(F.array(*[F.when(bad, F.lit(name)) for name, bad in rules.items()]))

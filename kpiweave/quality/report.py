@@ -8,14 +8,58 @@ from pyspark.sql import functions as F
 from kpiweave import fixed_values as V
 from kpiweave.functions import labelled, pct
 from kpiweave.quality.checks import run_checks
-from kpiweave.quality.monitors import broken_rules, envelope_rules, on_time
+from kpiweave.quality.monitors import broken_rules, envelope_rules, missing_field, on_time
+
+
+#: the columns that each check reads, by table
+CHECK_COLUMNS = {
+    "events_not_null_event_id": [("events", "event_id")],
+    "events_unique_event_id": [("events", "event_id")],
+    "events_valid_event_name": [("events", "event_name")],
+    "events_valid_platform": [("events", "platform")],
+    "events_not_null_timestamp": [("events", "event_timestamp")],
+    "events_null_rate_user_id": [("events", "user_id")],
+    "events_daily_volume_anomaly": [("events", "event_timestamp")],
+    "txn_not_null_transaction_id": [("transactions", "transaction_id")],
+    "txn_unique_transaction_id": [("transactions", "transaction_id")],
+    "txn_positive_amount": [("transactions", "amount")],
+    "txn_non_negative_fee": [("transactions", "fee")],
+    "txn_valid_status": [("transactions", "status")],
+    "txn_valid_type": [("transactions", "transaction_type")],
+    "txn_amount_gte_fee": [("transactions", "amount"), ("transactions", "fee")],
+    "txn_users_exist": [("transactions", "user_id"), ("users", "user_id")],
+}
+COLUMN_TYPES = {"event_timestamp": "timestamp_ntz", "amount": "bigint", "fee": "bigint"}
 
 
 def quality_report(events: DataFrame, transactions: DataFrame, users: DataFrame) -> DataFrame:
-    """One row per check: name, expectation, severity, passed, details, violations."""
-    results = run_checks(events, transactions, users)
+    """One row per check: name, expectation, severity, passed, details, violations.
+
+    A check whose columns are not there fails by itself, with the reason; the others go on.
+    """
+    tables = {"events": events, "transactions": transactions, "users": users}
+    broken: dict[str, str] = {}
+    for check, needs in CHECK_COLUMNS.items():
+        for name, column in needs:
+            if column not in tables[name].columns:
+                broken.setdefault(check, f"Error: no column {column} in {name}")
+    for name, column in {need for needs in CHECK_COLUMNS.values() for need in needs}:
+        if column not in tables[name].columns:
+            nothing = F.lit(None).cast(COLUMN_TYPES.get(column, "string"))
+            tables[name] = tables[name].withColumn(column, nothing)
+    results = run_checks(tables["events"], tables["transactions"], tables["users"])
     name, n = F.col("check_name"), F.col("violations")
     failed = F.concat(n.cast("string"), F.lit(V.CHECK_FAILED))
+    if broken:
+        error = labelled(name, broken)
+        return results.select(
+            name,
+            labelled(name, {k: text for k, (text, _) in V.CHECKS.items()}).alias("expectation"),
+            labelled(name, {k: level for k, (_, level) in V.CHECKS.items()}).alias("severity"),
+            (error.isNull() & (n == 0)).alias("passed"),
+            F.coalesce(error, F.when(n == 0, V.CHECK_PASSED).otherwise(failed)).alias("details"),
+            F.when(error.isNull(), n).alias("violations"),
+        )
     return results.select(
         name,
         labelled(name, {k: text for k, (text, _) in V.CHECKS.items()}).alias("expectation"),
@@ -78,8 +122,9 @@ def dq_score(
     Completeness is over the required envelope fields. The row measures take one scan; the
     duplicate rate takes one key shuffle.
     """
-    required = [c for c in V.ENVELOPE_REQUIRED if c in events.columns]
-    nulls = F.sum(sum(F.col(c).isNull().cast("int") for c in required))
+    flat = any(c.startswith("prop_") for c in events.columns)
+    required = [c for c in V.ENVELOPE_REQUIRED if c != "event_properties" or not flat]
+    nulls = F.sum(sum(missing_field(events, c).cast("int") for c in required))
     broken = broken_rules(envelope_rules(events, event_id_pattern))
     rows = events.agg(
         F.count("*").alias("_rows"),

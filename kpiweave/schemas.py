@@ -21,7 +21,7 @@ _ENVELOPE = [
     ("device_model", S),
 ]
 
-# Properties that become typed columns.
+# Properties that become columns of the staged events; others stay in the payload.
 PROPERTIES = {
     "amount": L,
     "fee": L,
@@ -33,6 +33,9 @@ PROPERTIES = {
     "signup_method": S,
     "transfer_type": S,
     "duration_ms": L,
+    "referrer": S,
+    "campaign_id": S,
+    "login_method": S,
 }
 
 

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kpiweave import schemas
-from kpiweave.functions import month_start, safe_long, safe_number
+from kpiweave.functions import month_start, safe_long, safe_number, utc_wall
 from kpiweave.plans.staging import NTZ
 
 
@@ -29,8 +29,19 @@ def read_users(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_events(spark: SparkSession, path: str) -> DataFrame:
-    """Flat events: envelope plus ``prop_*`` columns."""
-    flat = _csv(spark, path, schemas.EVENTS_CSV)
+    """Flat events: envelope plus ``prop_*`` columns.
+
+    The header is read, so columns may stand in any order; known ones that are missing are
+    NULL, and ``prop_*`` columns that no schema names are kept as text.
+    """
+    header = spark.read.csv(path, header=True, enforceSchema=False)
+    known = schemas.EVENTS_CSV.fieldNames()
+    extra = [c for c in header.columns if c.startswith("prop_") and c not in known]
+    present = set(header.columns)
+    flat = header.select(
+        *[F.col(c) if c in present else F.lit(None).cast("string").alias(c) for c in known],
+        *[f"`{c}`" for c in extra],
+    )
     typed = {
         f"prop_{name}": safe_number(flat, f"prop_{name}", kind.simpleString())
         for name, kind in schemas.PROPERTIES.items()
@@ -53,19 +64,39 @@ def read_events_json(spark: SparkSession, path: str, multi_line: bool = False) -
 
 
 def _timed(df: DataFrame, *names: str) -> DataFrame:
-    # The cast keeps the written wall clock, which is UTC, and ignores a trailing Z.
-    return df.withColumns({name: F.col(name).cast(NTZ) for name in names})
+    return df.withColumns({name: wall_clock(F.col(name)) for name in names})
+
+
+def wall_clock(text: Column) -> Column:
+    """ISO-8601 text as the UTC wall clock; NULL where it is no time, so that one bad value does
+    not end a load. Text without offset, or with Z, is UTC; another offset is applied."""
+    zoned = text.rlike(r"[+-]\d{2}:?\d{2}$") & text.rlike(r"\d[T ]\d")
+    return F.when(zoned, utc_wall(F.try_to_timestamp(text))).otherwise(text.try_cast(NTZ))
+
+
+def malformed_times(rows: DataFrame, *names: str) -> DataFrame:
+    """Of rows as read (times still text): those with a time that cannot be read, with the
+    names of the columns, for a quarantine."""
+    bad = [
+        F.when(F.col(n).isNotNull() & wall_clock(F.col(n)).isNull(), F.lit(n)) for n in names
+    ]
+    found = rows.withColumn("malformed", F.array_compact(F.array(*bad)))
+    return found.where(F.size("malformed") > 0)
 
 
 def flatten_properties(
-    events: DataFrame, properties: Mapping[str, T.DataType] | None = None
+    events: DataFrame,
+    properties: Mapping[str, T.DataType] | None = None,
+    keep_payload: bool = False,
 ) -> DataFrame:
-    """Turns the payload into typed ``prop_*`` columns; a value of another type is NULL."""
+    """Turns the payload into typed ``prop_*`` columns; a value of another type is NULL.
+
+    With ``keep_payload`` the whole payload stays beside them, so no property is lost."""
     chosen = properties or schemas.PROPERTIES
     payload = F.col("event_properties")
     flat = [
         F.try_variant_get(payload, f"$.{name}", kind.simpleString()).alias(f"prop_{name}")
         for name, kind in chosen.items()
     ]
-    envelope = [c for c in events.columns if c != "event_properties"]
+    envelope = [c for c in events.columns if keep_payload or c != "event_properties"]
     return events.select(*envelope, *flat)

@@ -73,6 +73,12 @@ EVENT_COLUMNS = {
     "prop_transfer_type": """CASE WHEN event_name = 'payment_transfer_completed' THEN
         CASE event_id % 3 WHEN 0 THEN 'scheduled' ELSE 'instant' END END""",
     "prop_duration_ms": "CASE WHEN event_name = 'screen_exited' THEN 3000 + event_id % 57000 END",
+    "prop_referrer": """CASE WHEN event_name IN ('auth_signup_started', 'auth_signup_completed') THEN
+        CASE user_id % 3 WHEN 0 THEN 'search' WHEN 1 THEN 'friend_invite' END END""",
+    "prop_campaign_id": """CASE WHEN event_name LIKE 'system_push%'
+        THEN 'camp_' || CAST(event_id % 9 AS STRING) END""",
+    "prop_login_method": """CASE WHEN event_name = 'auth_login_completed' AND event_id % 10 <> 0
+        THEN CASE event_id % 3 WHEN 0 THEN 'pin' ELSE 'biometric' END END""",
 }
 
 USER_FILTER = "c_custkey % 50 <> 49"

@@ -37,7 +37,9 @@ CTES.update(
           prop_amount AS amount, prop_screen_name AS screen_name,
           prop_merchant_id AS merchant_id, prop_merchant_category AS merchant_category,
           prop_error_code AS error_code, prop_signup_method AS signup_method,
-          prop_transfer_type AS transfer_type, prop_fee AS fee, prop_latency_ms AS latency_ms
+          prop_transfer_type AS transfer_type, prop_fee AS fee, prop_latency_ms AS latency_ms,
+          prop_referrer AS referrer, prop_campaign_id AS campaign_id,
+          prop_login_method AS login_method
         FROM raw_events WHERE NOT starts_with(user_id, 'usr_test') AND event_name IS NOT NULL""",
         "stg_txn": f"""SELECT transaction_id, user_id, transaction_type, amount,
           COALESCE(fee, 0) AS fee, currency, status,
@@ -331,6 +333,19 @@ CTES.update(
           UNION ALL SELECT 'platform', COALESCE(platform, 'unknown'), converted
             FROM converted_signups)
         GROUP BY segment, value""",
+        "referrer_signups": """SELECT user_id, MIN(event_timestamp_kst) AS signed_at,
+          arg_min(COALESCE(referrer, 'unknown'),
+            (event_timestamp_kst, referrer IS NOT NULL, referrer)) AS referrer
+        FROM stg_events WHERE event_name = 'auth_signup_completed' GROUP BY user_id""",
+        "segment_gmv": f"""SELECT event_date_kst AS day, segment, value, {big('SUM(amount)')} AS gmv
+        FROM (SELECT event_date_kst, amount, 'transaction_type' AS segment,
+            CASE event_name WHEN 'payment_qr_completed' THEN 'qr_payment' ELSE 'transfer' END
+              AS value FROM stg_events
+            WHERE event_name IN ('payment_transfer_completed', 'payment_qr_completed')
+          UNION ALL SELECT event_date_kst, amount, 'platform', COALESCE(platform, 'unknown')
+            FROM stg_events
+            WHERE event_name IN ('payment_transfer_completed', 'payment_qr_completed'))
+        GROUP BY ALL""",
         "event_gmv": f"""SELECT grain, period, {big('SUM(amount)')} AS gmv
         FROM (SELECT amount, 'day' AS grain, event_date_kst AS period FROM stg_events
             WHERE event_name IN ('payment_transfer_completed', 'payment_qr_completed')
@@ -385,6 +400,18 @@ MODELS: dict[str, str] = {
     "m1c_rolling_users": "SELECT * FROM rolling_users",
     "m2_mart_funnel": "SELECT * FROM funnel_mart",
     "m3_mart_retention": "SELECT * FROM retention_mart",
+    "m3_retention_by_signup_method": "SELECT signup_week, signup_method, cohort_size, "
+    + ", ".join(f"retained_d{n}_users" for n in V.RETENTION_DAYS)
+    + ", "
+    + ", ".join(
+        f"{pct(f'retained_d{n}_users', 'cohort_size')} AS retention_d{n}" for n in V.RETENTION_DAYS
+    )
+    + " FROM (SELECT c.signup_week, u.signup_method, COUNT(DISTINCT c.user_id) AS cohort_size, "
+    + ", ".join(
+        f"COUNT(DISTINCT c.user_id) FILTER (retained_d{n} = 1) AS retained_d{n}_users"
+        for n in V.RETENTION_DAYS
+    )
+    + " FROM int_cohort c JOIN stg_users u USING (user_id) GROUP BY 1, 2)",
     "m4_mart_revenue": "SELECT * FROM revenue_mart",
     "q1_dau_new_returning": """SELECT login_date, COUNT(DISTINCT user_id) AS dau,
       COUNT(DISTINCT user_id) FILTER (login_date = first_day) AS new_users,
@@ -491,7 +518,21 @@ MODELS: dict[str, str] = {
            'value': COALESCE(CAST(u.signup_week AS STRING), 'unknown')}], recursive := true)
       FROM stg_events e LEFT JOIN stg_users u USING (user_id)
       WHERE e.event_name = 'auth_login_completed') GROUP BY ALL""",
+    "k2_signup_conversion_by_referrer": f"""SELECT segment, value, COUNT(*) AS signups,
+      COUNT(*) FILTER (converted) AS converted,
+      {pct('COUNT(*) FILTER (converted)', 'COUNT(*)')} AS rate
+    FROM (SELECT x.segment, x.value, c.converted FROM (SELECT f.referrer, COALESCE(
+          sent_at BETWEEN signed_at AND signed_at + INTERVAL 7 DAY, FALSE) AS converted
+        FROM referrer_signups f LEFT JOIN first_sends USING (user_id)) c,
+      LATERAL (SELECT 'all' AS segment, 'all' AS value
+        UNION ALL SELECT 'referrer', c.referrer) x)
+    GROUP BY segment, value""",
     "k4_gmv_event_based": "SELECT * FROM event_gmv",
+    "k4_gmv_by_segment": """SELECT segment, value, 'day' AS grain, day AS period, gmv FROM segment_gmv
+    UNION ALL SELECT segment, value, 'week', CAST(date_trunc('week', day) AS DATE),
+      CAST(SUM(gmv) AS BIGINT) FROM segment_gmv GROUP BY ALL
+    UNION ALL SELECT segment, value, 'month', CAST(date_trunc('month', day) AS DATE),
+      CAST(SUM(gmv) AS BIGINT) FROM segment_gmv GROUP BY ALL""",
     "k5_arppu_by_segment": f"""SELECT month, segment, value, {big('SUM(fee)')} AS fee,
       COUNT(*) FILTER (pays) AS payers,
       {rnd(ratio('SUM(fee)', 'COUNT(*) FILTER (pays)'), 0)} AS arppu
@@ -529,6 +570,11 @@ MODELS: dict[str, str] = {
         "system_push_received", "received", "system_push_clicked", "clicked",
         "ctr", "clicked", "received",
     ),
+    "k15_push_ctr_by_campaign": f"""SELECT *, {pct('clicked', 'received')} AS ctr FROM (
+      SELECT event_date_kst AS date, campaign_id,
+        COUNT(*) FILTER (event_name = 'system_push_received') AS received,
+        COUNT(*) FILTER (event_name = 'system_push_clicked') AS clicked FROM stg_events
+      WHERE event_name IN ('system_push_received', 'system_push_clicked') GROUP BY 1, 2)""",
     "k16_gmv_decomposition": f"""SELECT date, kind, users, {ratio('n', 'users')} AS per_user,
       {ratio('gmv', 'n')} AS avg_amount, gmv
     FROM (SELECT transaction_date AS date, transaction_type AS kind,

@@ -22,7 +22,7 @@ def _outside(table: str, column: str, values) -> str:
 
 
 def _twice(table: str, key: str) -> str:
-    return f"""SELECT {key}, COUNT(*) AS cnt FROM {table} WHERE {key} IS NOT NULL
+    return f"""SELECT {key}, COUNT(*) AS cnt FROM {table}
     GROUP BY {key} HAVING COUNT(*) > 1"""
 
 

@@ -13,6 +13,7 @@ from kpiweave.plans import activity, anomaly, cohorts, funnels, kpi, revenue, st
 from verification import fixture
 
 AS_OF_DATE = dt.date(2024, 2, 28)
+METHOD_COHORT = ["signup_week", "signup_method"]
 SALT = "pepper"
 
 
@@ -106,6 +107,9 @@ _MODELS: dict[str, Callable[[Tables], DataFrame]] = {
     "m1c_rolling_users": lambda t: activity.rolling_users(t.int_dau),
     "m2_mart_funnel": lambda t: rounded(t.funnel, ["avg_time_minutes"]),
     "m3_mart_retention": lambda t: t.retention,
+    "m3_retention_by_signup_method": lambda t: cohorts.mart_retention(
+        cohorts.int_user_cohort(t.stg_users, t.stg_events, METHOD_COHORT), METHOD_COHORT
+    ),
     "m4_mart_revenue": lambda t: t.revenue,
     "q1_dau_new_returning": lambda t: activity.dau_new_returning(t.events),
     "q2_rolling_wau": lambda t: activity.rolling_wau(t.events),
@@ -140,8 +144,12 @@ _MODELS: dict[str, Callable[[Tables], DataFrame]] = {
     ),
     "k1_weekly_active_senders": lambda t: activity.weekly_active_senders(t.stg_events),
     "k2_signup_conversion_7d": lambda t: funnels.signup_conversion_7d(t.stg_events),
+    "k2_signup_conversion_by_referrer": lambda t: funnels.signup_conversion_7d(
+        t.stg_events, ("referrer",)
+    ),
     "k3_dau_by_segment": lambda t: activity.dau_by_segment(t.stg_events, t.stg_users),
     "k4_gmv_event_based": lambda t: revenue.gmv_event_based(t.stg_events),
+    "k4_gmv_by_segment": lambda t: revenue.gmv_by_segment(t.stg_events),
     "k5_arppu_by_segment": lambda t: revenue.arppu_by_segment(t.stg_txn, t.stg_users),
     "k6_mau": lambda t: activity.mau(t.stg_events),
     "k7_dau_mau_ratio": lambda t: activity.dau_mau_ratio(t.stg_events),
@@ -153,6 +161,7 @@ _MODELS: dict[str, Callable[[Tables], DataFrame]] = {
     "k13_qr_share": lambda t: revenue.qr_share(t.stg_events),
     "k14_error_rate": lambda t: kpi.error_rate(t.stg_events),
     "k15_push_ctr": lambda t: kpi.push_ctr(t.stg_events),
+    "k15_push_ctr_by_campaign": lambda t: kpi.push_ctr(t.stg_events, "campaign_id"),
     "k16_gmv_decomposition": lambda t: revenue.gmv_decomposition(t.stg_txn),
     "k17_dau_decomposition": lambda t: activity.dau_decomposition(
         activity.daily_users(t.int_dau)

@@ -61,7 +61,10 @@ def punctual(t: Tables) -> DataFrame:
 
 
 def alerted(t: Tables) -> DataFrame:
-    baseline = transforms.error_baseline(anomaly.daily_errors(t.transactions))
+    # Stored once: a batch reads a row per error code, not the history.
+    path = writers.scratch_path(t.spark, "w6-baseline")
+    transforms.error_baseline(anomaly.daily_errors(t.transactions)).write.parquet(path)
+    baseline = t.spark.read.parquet(path)
     signals = transforms.transaction_signals(transaction_stream(t))
 
     def judge(batch: DataFrame) -> DataFrame:
