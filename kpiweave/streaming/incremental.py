@@ -1,9 +1,10 @@
 """Refresh only the parts of the marts that newly arrived rows can change.
 
-The lake keeps raw rows by date, below the number of the batch that brought them, so a
-replayed batch replaces itself. A login on day d changes the trailing 30-day users of
-d .. d+29, so those days are computed again from d-29 on; a transaction changes its day and
-its month. All reads are cut to date partitions. The two feeds write the same mart: run
+The lake keeps raw rows by date, below the query and the number of the batch that brought
+them, so a replayed batch replaces itself and nothing else. A login on day d changes the trailing
+30-day users of d .. d+29, so those days are computed again from d-29 on; a transaction changes
+its day and its month. The days that a batch touches are listed, so one stray date refreshes its
+own reach only. All reads are cut to date partitions. The two feeds write the same mart: run
 them one after the other.
 """
 
@@ -23,8 +24,9 @@ from kpiweave.plans.kpi import mart_daily_kpi
 from kpiweave.plans.revenue import mart_revenue
 from kpiweave.plans.staging import NTZ, stg_events, stg_transactions
 from kpiweave.sources.writers import write_partitioned
-from kpiweave.streaming.sinks import _start
+from kpiweave.streaming.sinks import each_batch
 
+PARTS = ("day", "run", "batch")
 REACH = dt.timedelta(days=max(ROLLING.values()) - 1)
 
 
@@ -54,7 +56,7 @@ class Lake:
 
     def _between(self, path: str, schema, first: dt.date, last: dt.date) -> DataFrame:
         rows = self.spark.read.schema(schema).parquet(path)
-        return rows.where(F.col("day").between(first, last)).drop("day", "batch")
+        return rows.where(F.col("day").between(first, last)).drop(*PARTS)
 
 
     def prepare(self, events_schema, transactions_schema) -> None:
@@ -64,15 +66,37 @@ class Lake:
             (self.transactions_path, transactions_schema),
         ):
             nothing = self.spark.createDataFrame([], _with_partitions(schema))
-            nothing.write.mode("append").partitionBy("day", "batch").parquet(path)
+            nothing.write.mode("append").partitionBy(*PARTS).parquet(path)
 
 
-def _store(batch: DataFrame, batch_id: int, day, path: str) -> tuple[dt.date, dt.date] | None:
-    """Adds a batch to the lake and says which days it touches (two dates, one row)."""
-    keyed = batch.withColumn("day", day).withColumn("batch", F.lit(batch_id))
-    write_partitioned(keyed, path, ["day", "batch"])
-    span = keyed.agg(F.min("day"), F.max("day")).first()
-    return None if span[0] is None else (span[0], span[1])
+def _store(batch: DataFrame, run: str, batch_id: int, day, path: str) -> list[dt.date]:
+    """Adds a batch to the lake and lists the days it touches, from the stored partitions."""
+    marks = {"day": day, "run": F.lit(run), "batch": F.lit(batch_id).cast("bigint")}
+    keyed = batch.withColumns(marks)
+    write_partitioned(keyed, path, list(PARTS))
+    stored = batch.sparkSession.read.schema(keyed.schema).parquet(path)
+    own = stored.where((F.col("run") == run) & (F.col("batch") == batch_id))
+    days = own.select("day").distinct().where(F.col("day").isNotNull()).collect()
+    return sorted(r.day for r in days)
+
+
+def spans(days: list[dt.date], reach: dt.timedelta) -> list[tuple[dt.date, dt.date]]:
+    """The days ``d .. d + reach`` of all ``days``, as spans that do not touch."""
+    out: list[tuple[dt.date, dt.date]] = []
+    for day in sorted(days):
+        if out and day <= out[-1][1] + dt.timedelta(days=1):
+            out[-1] = (out[-1][0], max(out[-1][1], day + reach))
+        else:
+            out.append((day, day + reach))
+    return out
+
+
+def months(days: list[dt.date]) -> list[tuple[dt.date, dt.date]]:
+    """First and last touched day of each touched month."""
+    by: dict[tuple[int, int], list[dt.date]] = {}
+    for day in days:
+        by.setdefault((day.year, day.month), []).append(day)
+    return [(min(x), max(x)) for x in by.values()]
 
 
 def refresh_daily_kpi(
@@ -102,14 +126,13 @@ def feed_events(
     schema = _with_partitions(stream.schema)
     day = kst(F.col("event_timestamp").cast(NTZ)).cast("date")
 
-    def apply(batch: DataFrame, batch_id: int) -> None:
-        span = _store(batch, batch_id, day, lake.events_path)
-        if span:
-            other = _with_partitions(transactions_schema)
-            refresh_daily_kpi(lake, schema, other, span[0], span[1] + REACH)
+    def apply(batch: DataFrame, run: str, batch_id: int) -> None:
+        touched = _store(batch, run, batch_id, day, lake.events_path)
+        for span in spans(touched, REACH):
+            refresh_daily_kpi(lake, schema, _with_partitions(transactions_schema), *span)
 
     writer = stream.writeStream.option("checkpointLocation", checkpoint)
-    return _start(writer.foreachBatch(apply), once)
+    return each_batch(writer, apply, once)
 
 
 def feed_transactions(
@@ -119,16 +142,17 @@ def feed_transactions(
     schema = _with_partitions(stream.schema)
     day = F.col("created_at").cast(NTZ).cast("date")
 
-    def apply(batch: DataFrame, batch_id: int) -> None:
-        span = _store(batch, batch_id, day, lake.transactions_path)
-        if span:
+    def apply(batch: DataFrame, run: str, batch_id: int) -> None:
+        touched = _store(batch, run, batch_id, day, lake.transactions_path)
+        for span in spans(touched, dt.timedelta(0)):
             refresh_daily_kpi(lake, _with_partitions(events_schema), schema, *span)
+        for span in months(touched):
             refresh_revenue(lake, schema, *span)
 
     writer = stream.writeStream.option("checkpointLocation", checkpoint)
-    return _start(writer.foreachBatch(apply), once)
+    return each_batch(writer, apply, once)
 
 
 def _with_partitions(schema):
-    extra = [T.StructField("day", T.DateType()), T.StructField("batch", T.LongType())]
-    return T.StructType([*schema.fields, *extra])
+    kinds = {"day": T.DateType(), "run": T.StringType(), "batch": T.LongType()}
+    return T.StructType([*schema.fields, *[T.StructField(n, kinds[n]) for n in PARTS]])
