@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -16,15 +15,10 @@ SHARED_DIR = "spark.checkpoint.dir"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the shared folder that the session names.
-
-    Without that setting only a local session may write, to a temporary folder.
-    """
+    """A fresh folder below the shared folder that the session names."""
     shared = spark.conf.get(SHARED_DIR, None)
     if shared is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {SHARED_DIR} to a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="kpiweave-")
+        raise ValueError(f"set {SHARED_DIR} to a folder that all executors share")
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

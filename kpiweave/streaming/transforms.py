@@ -90,15 +90,18 @@ def approx_active_senders(
 def timeliness(
     events: DataFrame, length: str = "1 day", limit_seconds: float = 300.0, delay: str = DELAY
 ) -> DataFrame:
-    """Delay from event to receipt per window: mean, 95th percentile, share on time."""
+    """Delay from event to receipt per window: mean, exact 95th percentile, share on time.
+
+    The percentile's state is a count per distinct delay of the window."""
     micros = micros_between(F.col("event_timestamp"), F.col("received_at"))
     counted = (
         timed(events, "event_timestamp", delay)
+        .withColumn("delay", micros)
         .groupBy(F.window("event_at", length).alias("window"))
         .agg(
             F.count("*").alias("n"),
             F.sum(micros).alias("micros"),
-            F.percentile_approx(micros, 0.95, 10_000).alias("p95"),
+            F.expr("percentile_disc(0.95) WITHIN GROUP (ORDER BY delay)").alias("p95"),
             F.count_if(on_time(limit_seconds)).alias("punctual"),
         )
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import tempfile
 from collections.abc import Callable
 from functools import cached_property
 
@@ -10,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kpiweave.plans import activity, anomaly, cohorts, funnels, kpi, revenue, staging
+from kpiweave.sources.writers import SHARED_DIR
 from verification import fixture
 
 AS_OF_DATE = dt.date(2024, 2, 28)
@@ -90,7 +92,13 @@ def rounded(df: DataFrame, columns: list[str], digits: int = 6) -> DataFrame:
 
 
 def on_tables(fn: Callable[[Tables], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: fn(Tables(spark, sf_dir))
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        # A local session may come without the shared folder that a cluster must name.
+        if spark.sparkContext.master.startswith("local[") and not spark.conf.get(SHARED_DIR, None):
+            spark.conf.set(SHARED_DIR, tempfile.mkdtemp(prefix="kpiweave-"))
+        return fn(Tables(spark, sf_dir))
+
+    return run
 
 
 _MODELS: dict[str, Callable[[Tables], DataFrame]] = {
