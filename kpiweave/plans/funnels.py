@@ -137,7 +137,9 @@ def time_to_convert(int_funnel: DataFrame) -> DataFrame:
         ["transition"],
         "micros",
         {"p25": 0.25, "p50": 0.5, "p75": 0.75},
-        bucket_width=MINUTE,
+        # A second holds at most a million microseconds, and a month as many seconds or so: a
+        # task's share is bounded on both levels, whatever the resolution of the times.
+        bucket_width=1_000_000,
     )
     minutes = [(F.col(p) / MINUTE).alias(p) for p in ("p25", "p50", "p75")]
     return quartiles.select("transition", "n", *minutes)

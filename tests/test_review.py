@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from kpiweave.plans import funnels
 from kpiweave.quality import checks, monitors, report
 from kpiweave.sources import readers
 from tests import helpers
@@ -70,3 +71,17 @@ def test_payload_can_be_kept(spark):
     flat = readers.flatten_properties(rows, keep_payload=True)
     assert flat.select(F.try_variant_get("event_properties", "$.odd", "int")).first()[0] == 1
     assert flat.first().prop_amount == 5
+
+
+def test_conversion_times_that_all_fall_into_one_minute(spark):
+    start = dt.datetime(2024, 1, 1)
+    rows = [(start, start + dt.timedelta(microseconds=1_000_000 + 997 * i)) for i in range(500)]
+    schema = "signup_started_at timestamp_ntz, signup_completed_at timestamp_ntz"
+    none = F.lit(None).cast("timestamp_ntz")
+    wide = spark.createDataFrame(rows, schema).withColumns(
+        {"identity_verified_at": none, "first_transfer_completed_at": none}
+    )
+    got = funnels.time_to_convert(wide).first()
+    values = sorted((b - a).total_seconds() / 60 for a, b in rows)
+    assert got.n == 500
+    assert abs(got.p50 - (values[249] + values[250]) / 2) < 1e-9
