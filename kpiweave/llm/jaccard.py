@@ -292,17 +292,17 @@ class Join:
         left = stored(rooted.withColumn("k", mark).join(mixed, ["h", "k"]).drop("k"), "mixed")
         names = {"sid": "sid2", "n": "n2", "pos": "pos2", "root": "root2"}
         right = left.drop("leader").withColumnsRenamed(names)
-        met = left.join(right, "h").where(F.col("root") < F.col("root2")).where(_close())
+        # At the first shingle that two sets share, only what follows can still be shared.
         most = F.least(F.col("n") - F.col("pos"), F.col("n2") - F.col("pos2"))
-        counted = met.groupBy("sid", "sid2").agg(
-            F.max("n").alias("n"),
-            F.max("n2").alias("n2"),
-            F.max(most).alias("most"),  # at the first shingle in common
-            F.count("*").alias("common"),
-        )
-        enough = 9 * F.col("most") >= 4 * (F.col("n") + F.col("n2"))
-        may = counted.where(enough & (F.col("common") >= _needed()))
-        return may.select(F.least("sid", "sid2").alias("a"), F.greatest("sid", "sid2").alias("b")).distinct()
+        enough = 9 * most >= 4 * (F.col("n") + F.col("n2"))
+        apart = F.col("root") < F.col("root2")
+        met = left.join(right, "h").where(apart & _close() & enough)
+        pairs = met.select("sid", "sid2").distinct()
+        own = left.groupBy("sid").agg(F.max("n").alias("n"), F.collect_set("h").alias("hs"))
+        other = own.select(F.col("sid").alias("sid2"), F.col("n").alias("n2"), F.col("hs").alias("hs2"))
+        common = F.size(F.array_intersect("hs", "hs2"))
+        may = pairs.join(own, "sid").join(other, "sid2").where(common >= _needed())
+        return may.select(F.least("sid", "sid2").alias("a"), F.greatest("sid", "sid2").alias("b"))
 
     def _verified(self, pairs: DataFrame) -> DataFrame:
         """a, b of the ``pairs`` that link: overlaps per fragment, summed."""
