@@ -37,9 +37,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def text_key(text: str = "text") -> Column:
+def text_key(text: str | Column = "text") -> Column:
     """Tells rows of one id but different texts apart; equal rows share it."""
-    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+    return F.xxhash64(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")))
 
 
 def id_remainder(id_column: str, modulus: int) -> Column:

@@ -234,5 +234,6 @@ def clean(documents: DataFrame, items: DataFrame) -> DataFrame:
     """The documents that hold no window of any item, with all their columns."""
     bad = hits(documents, items).where(F.size("hits") > 0)
     marked = bad.select(F.col("doc_id").alias("_doc"), F.col("row_key").alias("_key")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (text_key() == F.col("_key"))
+    key = text_key(documents["text"])
+    same = documents["doc_id"].eqNullSafe(marked["_doc"]) & (key == marked["_key"])
     return documents.join(marked, same, "left_anti")

@@ -377,4 +377,4 @@ def representatives(documents: DataFrame) -> DataFrame:
     """The documents whose id is the smallest of their component, and those without id."""
     found = Join(documents).report().where("doc_id <> component_id")
     others = found.select(F.col("doc_id").alias("_other")).distinct()
-    return documents.join(others, F.col("doc_id") == F.col("_other"), "left_anti")
+    return documents.join(others, documents["doc_id"] == others["_other"], "left_anti")

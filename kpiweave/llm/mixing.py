@@ -12,7 +12,7 @@ last row is cut at the token.
 
 Defined results: null level values are nodes of their own, written ``(none)``; texts without
 words are never selected; nodes without a weight weigh 1; negative weights are refused; equal
-rows stand next to each other in an epoch.
+rows stand next to each other in an epoch; input columns named like the added ones are replaced.
 """
 
 from __future__ import annotations

@@ -163,9 +163,10 @@ def candidates(documents: DataFrame, profile: Profile, path: str = "source") ->
 def profile(documents: DataFrame, rows: int = PROFILE_DOCS) -> Profile:
     """From at most ``rows`` texts of at most ``PROFILE_CHARS`` characters, in hash order."""
     order = F.xxhash64(F.lit("profile"), "doc_id", text_key())
-    short = documents.where(F.length("text") <= PROFILE_CHARS)
-    keyed = short.select(order.alias("o"), "text")
-    sample = keyed.where("text IS NOT NULL").orderBy("o", "text").limit(rows)
+    short = documents.where(F.length("text") <= PROFILE_CHARS).select(order.alias("o"), "text")
+    # The hashes are chosen first, so no text but those of the sample moves.
+    chosen = stored(short.select("o").orderBy("o").limit(rows).distinct(), "profile-rows")
+    sample = short.join(F.broadcast(chosen), "o").dropDuplicates(["o"]).orderBy("o")
     return Profile(sample.toArrow()["text"].to_pylist())
 
 
@@ -237,7 +238,8 @@ def redact(documents: DataFrame, judged: DataFrame) -> DataFrame:
         .groupBy(F.col("doc_id").alias("_id"), F.col("row_key").alias("_key"))
         .agg(F.collect_list(F.struct("start", "size")).alias("_spans"))
     )
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (text_key() == F.col("_key"))
+    key = text_key(documents["text"])
+    same = documents["doc_id"].eqNullSafe(spans["_id"]) & (key == spans["_key"])
     at = documents.columns.index("text")
 
     def mask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -251,7 +253,9 @@ def redact(documents: DataFrame, judged: DataFrame) -> DataFrame:
             columns[at] = pa.array(changed, texts.type)
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
 
-    met = documents.join(spans, same, "left").drop("_id", "_key")
+    met = documents.join(spans, same, "left").select(
+        *[documents[c] for c in documents.columns], spans["_spans"]
+    )
     schema = ", ".join(f"`{n}` {t}" for n, t in documents.dtypes)
     masked = met.mapInArrow(mask, schema)
     if "n_chars" not in documents.columns:
