@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-PIECE = 1 << 20  # bytes hashed at a time
+PIECE = 1 << 18  # bytes hashed at a time
 U64 = np.uint64
 _RNG = np.random.Generator(np.random.PCG64(20240229))  # fixed: hashes agree in all tasks
 _LETTER = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * U64(2) + U64(1)
@@ -167,7 +167,7 @@ def runs(w: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     return start, mix(total[start] + U64(size))
 
 
-def slices(batch: pa.RecordBatch, column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The batch in parts of about ``limit`` bytes of text, so that a part's arrays stay small.
     A longer text is a part of its own."""
     texts = batch.column(column)
