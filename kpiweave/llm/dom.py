@@ -52,14 +52,14 @@ class Block(NamedTuple):
     path: tuple[str, ...]  # styles (tag and class) of the open elements
     text: str
     foreign: bool  # inside an element that never holds the article
-    article: bool
+    article: int  # levels down to the nearest article or main element, 0 outside of them
 
 
 class _Open(NamedTuple):
     tag: str
     style: str
     foreign: bool
-    article: bool
+    article: int
 
 
 def _read(tag: str, attributes: str, inside: bool) -> tuple[str, bool]:
@@ -107,7 +107,7 @@ def blocks(html: str) -> tuple[list[Block], list[tuple[tuple[str, ...], str]]]:
             pieces.clear()
             if text:
                 top = stack[-1] if stack else None
-                out.append(Block(path(), text, bool(top and top.foreign), bool(top and top.article)))
+                out.append(Block(path(), text, bool(top and top.foreign), top.article if top else 0))
 
     while at < n:
         low = html.find("<", at)
@@ -171,13 +171,14 @@ def blocks(html: str) -> tuple[list[Block], list[tuple[tuple[str, ...], str]]]:
             while stack and stack[-1].tag == "head":
                 stack.pop()
         above = stack[-1] if stack else None
-        inside = bool(above and above.article)
-        style, foreign = _read(tag, found[2], inside)
+        inside = above.article if above else 0
+        style, foreign = _read(tag, found[2], inside > 0)
         if len(stack) < DEEPEST:
             elements.append((path(), style))
         foreign |= bool(above and above.foreign)
         if found[2].endswith("/") and tag in FOREIGN:
             continue
-        stack.append(_Open(tag, style, foreign, inside or tag in ARTICLE))
+        article = len(stack) + 1 if tag in ARTICLE else inside
+        stack.append(_Open(tag, style, foreign, article))
     flush()
     return out, elements

@@ -10,10 +10,14 @@ node of the host's tree. Over the distinct pages of the host that hold a node,
 * a *branch* has ``1 - GAMMA`` times the importance of its own presentation plus ``GAMMA`` times the
   mean importance of the contents below it.
 
-Branches of low importance are removed from each page, as is what HTML itself names as no part of
-an article (menus, forms, scripts, comments ...). Where a page has an article element with text,
-that element is the text, and its branches are not judged by the tree: an article that a host
-shows on many pages stays one.
+Branches of low importance are removed from every page, as is what HTML itself names as no part of
+an article (menus, forms, scripts, comments ...). An article or main element is evidence beside the
+tree:
+
+* the element itself and what it stands in are not removed, only branches inside it; and these not
+  if they make up most of its text, so an article that a host shows on many pages stays one;
+* text outside of it goes with the rest of the page, unless what the tree leaves outside is more
+  than what it leaves inside: then the element is a teaser or the like, and both stay.
 
 The tree is a table keyed by host and path, built by partial aggregates. Pages meet it through
 thin rows, and only pages that lose a branch are shuffled with their html.
@@ -87,10 +91,9 @@ def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     (name, key, 1, _path(path), _hash(" ".join(styles)), 1, None)
                     for path, styles in shown.items()
                 ]
-                if not any(b.article and not b.foreign for b in found):
-                    own = {b.path for b in found if not b.foreign}
-                    branches = sorted({h for p in own for h in above[p]})
-                    rows.append((name, key, 2, None, None, None, branches))
+                ends = {(b.path, b.article) for b in found if not b.foreign}
+                branches = {h for p, article in ends for h in _judged(above[p], p, article)}
+                rows.append((name, key, 2, None, None, None, sorted(branches)))
             rows += [(None, None, 3, _path(p), None, None, up) for p, up in above.items()]
             columns = zip(*rows) if rows else [()] * 7
             arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
@@ -102,6 +105,11 @@ def _ends(path: tuple[str, ...]) -> range:
     return range(min(3, len(path)), len(path) + 1)
 
 
+def _judged(above: list, path: tuple[str, ...], article: int) -> list:
+    """Of the branches ``above`` a path, those inside its nearest article element."""
+    return above[max(0, article + 1 - _ends(path).start) :] if article else above
+
+
 def site_nodes(pages: DataFrame) -> DataFrame:
     keyed = pages.select(host().alias("host"), text_key("html").alias("row_key"), "html")
     return keyed.where("host <> '' AND html IS NOT NULL").mapInArrow(
@@ -134,19 +142,27 @@ def style_tree(nodes: DataFrame) -> DataFrame:
     return both.select("host", "path", importance.alias("importance"))
 
 
+def _chars(found: list[Block]) -> int:
+    return sum(len(b.text) for b in found)
+
+
 def _chosen(found: list[Block], low: frozenset[int]) -> list[str]:
-    """The article's blocks, or else those outside foreign elements and low branches."""
-    article = [b.text for b in found if b.article and not b.foreign]
-    if article:
-        return article
-    own = [b for b in found if not b.foreign]
-    if not low:
-        return [b.text for b in own]
-    known: dict[tuple, bool] = {}
-    for b in own:
-        if b.path not in known:
-            known[b.path] = any(_path(b.path[:k]) in low for k in _ends(b.path))
-    return [b.text for b in own if not known[b.path]]
+    """The blocks outside foreign elements and low branches, with article elements as evidence."""
+    own = kept = [b for b in found if not b.foreign]
+    if low:
+        known: dict[tuple, bool] = {}
+        for b in own:
+            if (b.path, b.article) not in known:
+                above = [_path(b.path[:k]) for k in _ends(b.path)]
+                known[b.path, b.article] = low.isdisjoint(_judged(above, b.path, b.article))
+        kept = [b for b in own if known[b.path, b.article]]
+    article = [b for b in own if b.article]
+    inside = [b for b in kept if b.article]
+    if 2 * _chars(inside) < _chars(article):
+        inside, kept = article, [b for b in own if b.article or known[b.path, b.article]]
+    if inside and 2 * _chars(inside) >= _chars(kept):
+        kept = inside
+    return [b.text for b in kept]
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

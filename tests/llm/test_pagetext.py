@@ -55,6 +55,24 @@ def test_low_branches_go_and_articles_stay(spark):
     assert all(r.n_chars == len(r.text) for r in found)
 
 
+def judged(spark, bodies):
+    docs = spark.createDataFrame([page(i, b) for i, b in enumerate(bodies)], PAGES)
+    return {r.page_id: r.text for r in P.report(docs).collect()}
+
+
+def test_tree_judges_inside_and_beside_article_elements(spark):
+    inside, teaser = [], []
+    for i in range(12):
+        own = f"<p>story {i} of {i * 7} and what came after it</p>"
+        box = "<div class=k2>call us now</div>"
+        inside.append(f"<article>{box}{own}<div class=k3><p>© us</p></div></article><div>menu {i}</div>")
+        teaser.append(f"<article><p>in short {i}</p></article>{box}<div class=k1>{own}<p>more {i * 3}</p></div>")
+    assert judged(spark, inside) == {i: f"story {i} of {i * 7} and what came after it" for i in range(12)}
+    assert judged(spark, teaser) == {
+        i: f"in short {i}\nstory {i} of {i * 7} and what came after it\nmore {i * 3}" for i in range(12)
+    }
+
+
 def test_empty_table(spark):
     assert P.report(spark.createDataFrame([], PAGES)).count() == 0
 
