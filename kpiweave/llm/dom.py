@@ -29,6 +29,14 @@ FOREIGN_NAMES = frozenset(
     " related recommended recommendations comment comments reply replies respond discussion disqus"
     " widget toolbar pagination pager copyright disclaimer masthead topbar alert".split()
 )
+#: parts that say nothing against a foreign name beside them ("comment-list", "ad-300x250")
+NEUTRAL_NAMES = frozenset(
+    "list lists box block wrapper wrap container area section bar item items inner outer top bottom"
+    " left right site page panel group row column col slot unit zone link links button buttons icon"
+    " icons text title form header footer global primary secondary mobile desktop".split()
+)
+#: "no-sidebar", "has-header": what the page has or lacks, not what the element is
+STATES = frozenset("no not has have with without hide is".split())
 EDGE_NAMES = frozenset(("header", "footer"))
 ARTICLE_NAMES = frozenset("article post entry story content main".split())
 FOREIGN_ROLES = frozenset(
@@ -41,6 +49,7 @@ _CLOSED_BY = {
 _BARRIER = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}}
 _TAG = re.compile(r"</?([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>")
 _NAMES = re.compile(r"[^a-z0-9]+")
+_SIZE = re.compile(r"\d+(?:x\d+)?")
 _ATTRIBUTE = re.compile(
     r"(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]*))?",
     re.IGNORECASE,
@@ -62,6 +71,17 @@ class _Open(NamedTuple):
     article: int
 
 
+def _foreign_name(name: str) -> bool:
+    """Whether a whole class name or id is that of a foreign element: "ad", "comment-list",
+    "post-comments", but not "share-price", "has-sidebar" or "content-sidebar-wrap"."""
+    parts = [p for p in _NAMES.split(name) if p]
+    rest = {p for p in parts if p not in FOREIGN_NAMES and not _SIZE.fullmatch(p)}
+    if FOREIGN_NAMES.isdisjoint(parts):
+        return False
+    qualified = NEUTRAL_NAMES | ARTICLE_NAMES if parts[-1] in FOREIGN_NAMES else NEUTRAL_NAMES
+    return rest <= qualified
+
+
 def _read(tag: str, attributes: str, inside: bool) -> tuple[str, bool]:
     """The style of an element, and whether it is foreign to the article."""
     foreign = tag in FOREIGN or (tag == "header" and not inside)
@@ -71,7 +91,7 @@ def _read(tag: str, attributes: str, inside: bool) -> tuple[str, bool]:
         for name, value in _ATTRIBUTE.findall(attributes):
             name, value = name.lower(), value.strip("\"'").lower()
             if name in ("class", "id"):
-                names += [n for n in _NAMES.split(value) if n]
+                names += value.split()
                 if name == "class":
                     style = f"{tag}.{' '.join(sorted(value.split()))}"
             elif name == "role":
@@ -83,10 +103,12 @@ def _read(tag: str, attributes: str, inside: bool) -> tuple[str, bool]:
             else:
                 plain = value.replace(" ", "")
                 foreign |= "display:none" in plain or "visibility:hidden" in plain
-    if names and tag not in ("html", "body"):
-        foreign |= not FOREIGN_NAMES.isdisjoint(names)
-        if not inside and not EDGE_NAMES.isdisjoint(names):
-            foreign |= ARTICLE_NAMES.isdisjoint(names)
+    if names and tag not in ("html", "body") and tag not in ARTICLE and ARTICLE_NAMES.isdisjoint(names):
+        foreign |= any(map(_foreign_name, names))
+        if not inside:
+            parts = [[p for p in _NAMES.split(n) if p] for n in names]
+            own = {p for of in parts if of and of[0] not in STATES for p in of}
+            foreign |= not EDGE_NAMES.isdisjoint(own) and ARTICLE_NAMES.isdisjoint(own)
     return style, foreign
 
 

@@ -73,6 +73,17 @@ def test_tree_judges_inside_and_beside_article_elements(spark):
     }
 
 
+def test_names_of_article_elements_and_states_cut_nothing():
+    for open_ in (
+        "<div class='post no-sidebar'>", "<div id=content class=has-sidebar>", "<div class=no-header>",
+        "<article class='post category-social'>", "<main class=share>", "<div class=share-price>",
+        "<div class=content-sidebar-wrap>",
+    ):
+        assert texts(f"{open_}<p>t</p>") == ["t"], open_
+    for open_ in ("<div class='x ad-300x250'>", "<div class=post-comments>", "<div id=social-share>", "<div class=site-header>"):
+        assert texts(f"{open_}<p>t</p>") == [], open_
+
+
 def test_empty_table(spark):
     assert P.report(spark.createDataFrame([], PAGES)).count() == 0
 
