@@ -4,7 +4,7 @@ The DOMs of a host's pages are merged: nodes with the same path of styles (tag a
 node of the host's tree. Over the distinct pages of the host that hold a node,
 
 * a *content* node is as important as the entropy of the contents it shows (log base: the number
-  of its occurrences): the same notice everywhere says nothing, ever new text is what the site is
+  of pairs of page and content): the same notice everywhere says nothing, ever new text is what the site is
   for;
 * a *presentation* node is as important as the entropy of the child styles it shows;
 * a *branch* has ``1 - GAMMA`` times the importance of its own presentation plus ``GAMMA`` times the
@@ -23,13 +23,12 @@ The tree is a table keyed by host and path, built by partial aggregates. Pages m
 thin rows, and only pages that lose a branch are shuffled with their html.
 
 Defined results: a null page is empty and gives an empty text; pages without a host (null or odd
-urls) and nodes seen on fewer than ``LEAST_PAGES`` pages are not judged by the tree; equal pages
-of a host count once in it.
+urls) and nodes seen on fewer than ``LEAST_PAGES`` different pages are not judged by the tree; equal
+pages of a host count once in it, and so do equal contents of a node within a page.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -65,7 +64,8 @@ def _path(path: tuple[str, ...]) -> int:
 def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (host, row_key, kind, path, value, n, paths) of each page: its contents (kind 0), the
     child styles of its elements (1), the branches the tree may remove from it (2); and, once per
-    batch, the branches above each content path (3)."""
+    batch, the branches above each content path (3). ``n`` is 1 in one of the rows that a page has
+    for a path and a kind, so that its sum counts pages."""
     kinds = [pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
     kinds.append(pa.list_(pa.int64()))
     names = ["host", "row_key", "kind", "path", "value", "n", "paths"]
@@ -76,16 +76,19 @@ def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             above: dict[tuple, list[int]] = {}
             for name, key, html in zip(*part.to_pydict().values(), strict=True):
                 found, elements = blocks(html or "")
-                texts = Counter((b.path, b.text) for b in found)
-                for path, _ in texts:
+                texts: dict[tuple, dict[str, None]] = {}
+                for b in found:
+                    texts.setdefault(b.path, {})[b.text] = None
+                for path in texts:
                     if path not in above:
                         above[path] = [_path(path[:k]) for k in _ends(path)]
                 shown: dict[tuple, list[str]] = {}
                 for path, style in elements:
                     shown.setdefault(path, []).append(style)
                 rows += [
-                    (name, key, 0, _path(path), _hash(text), n, None)
-                    for (path, text), n in texts.items()
+                    (name, key, 0, _path(path), _hash(text), int(k == 0), None)
+                    for path, own in texts.items()
+                    for k, text in enumerate(own)
                 ]
                 rows += [
                     (name, key, 1, _path(path), _hash(" ".join(styles)), 1, None)
@@ -122,15 +125,15 @@ def site_nodes(pages: DataFrame) -> DataFrame:
 def style_tree(nodes: DataFrame) -> DataFrame:
     """host, path, importance: every branch of every host's tree, from ``site_nodes``."""
     own = ["host", "path", "kind", "value"]
-    once = nodes.where("kind < 2").groupBy(*own, "row_key").agg(F.max("n").alias("n"))
-    values = once.groupBy(*own).agg(F.sum("n").alias("n"))
+    once = nodes.where("kind < 2").groupBy(*own, "row_key").agg(F.max("n").alias("first"))
+    values = once.groupBy(*own).agg(F.count("*").alias("n"), F.sum("first").alias("pages"))
     log = F.col("n") * F.log(F.col("n").cast("double"))
     summed = values.groupBy("host", "path", "kind").agg(
-        F.sum("n").cast("double").alias("n"), F.sum(log).alias("nlogn")
+        F.sum("n").cast("double").alias("n"), F.sum(log).alias("nlogn"), F.sum("pages").alias("pages")
     )
     # The entropy of shares n_i / N, log base N, is 1 - (sum n_i log n_i) / (N log N).
     entropy = F.round(1 - F.col("nlogn") / (F.col("n") * F.log("n")), 9)
-    judged = summed.withColumn("i", F.when(F.col("n") >= LEAST_PAGES, entropy).otherwise(1.0))
+    judged = summed.withColumn("i", F.when(F.col("pages") >= LEAST_PAGES, entropy).otherwise(1.0))
     up = nodes.where("kind = 3").select("path", "paths").distinct()
     leaves = judged.where("kind = 0").join(up, "path")
     below = leaves.select("host", F.explode("paths").alias("path"), "n", "i").groupBy(

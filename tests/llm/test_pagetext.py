@@ -73,6 +73,12 @@ def test_tree_judges_inside_and_beside_article_elements(spark):
     }
 
 
+def test_repeats_within_one_page_are_no_pages(spark):
+    rows = "<ul><li>yes<li>yes<li>yes<li>yes<li>yes<li>yes</ul><div class=k1><p>story</p></div>"
+    assert judged(spark, [rows]) == {0: "\n".join(["yes"] * 6 + ["story"])}
+    assert judged(spark, [f"{rows}<i>{i}</i>" for i in range(4)])[3].startswith("yes\nyes")
+
+
 def test_names_of_article_elements_and_states_cut_nothing():
     for open_ in (
         "<div class='post no-sidebar'>", "<div id=content class=has-sidebar>", "<div class=no-header>",
