@@ -37,8 +37,7 @@ from kpiweave.llm.common import stored, text_key
 
 LEAST = 16
 TRAIN_ROWS = 20_000
-PROFILE_DOCS = 2_000
-PROFILE_CHARS = 20_000
+LEAST_DOCS = 3  # that hold a word of the dictionary
 TREES, DEPTH, SEED = 40, 8, 7
 MASK = "[SECRET]"
 _CANDIDATE = re.compile(rf"[A-Za-z0-9+/_\-]{{{LEAST},}}={{0,2}}")
@@ -57,25 +56,17 @@ FINDING = "start int, size int, candidate string, features array<double>"
 class Profile:
     """Dictionary words and log-likelihoods of letter pairs, from a bounded sample of texts."""
 
-    def __init__(self, texts: list[str | None]) -> None:
-        seen: Counter = Counter()
-        pairs = np.ones((38, 38))
-        for text in texts:
-            own = set(_WORD.findall((text or "").lower()))
-            seen.update(w for w in own if len(w) >= 3)
-            for w in own:
-                codes = _codes(w)
-                np.add.at(pairs, (codes[:-1], codes[1:]), 1)
-        self.words = frozenset(w for w, n in seen.items() if n >= 3)
-        self.longest = max((len(w) for w in self.words), default=0)
+    def __init__(self, words: frozenset[str], pairs: np.ndarray) -> None:
+        self.words = words
+        self.sizes = sorted({len(w) for w in words}, reverse=True)
         self.pairs = np.log(pairs / pairs.sum(axis=1, keepdims=True))
 
     def covered(self, text: str) -> float:
         """Share of the characters in dictionary words, longest first from the left."""
         i = hit = 0
         while i < len(text):
-            for n in range(min(self.longest, len(text) - i), 2, -1):
-                if text[i : i + n] in self.words:
+            for n in self.sizes:
+                if n <= len(text) - i and text[i : i + n] in self.words:
                     hit += n
                     i += n
                     break
@@ -160,14 +151,47 @@ def candidates(documents: DataFrame, profile: Profile, path: str = "source") ->
     return texts.mapInArrow(scan, f"doc_id bigint, row_key bigint, {FINDING}")
 
 
-def profile(documents: DataFrame, rows: int = PROFILE_DOCS) -> Profile:
-    """From at most ``rows`` texts of at most ``PROFILE_CHARS`` characters, in hash order."""
-    order = F.xxhash64(F.lit("profile"), "doc_id", text_key())
-    short = documents.where(F.length("text") <= PROFILE_CHARS).select(order.alias("o"), "text")
-    # The hashes are chosen first, so no text but those of the sample moves.
-    chosen = stored(short.select("o").orderBy("o").limit(rows).distinct(), "profile-rows")
-    sample = short.join(F.broadcast(chosen), "o").dropDuplicates(["o"]).orderBy("o")
-    return Profile(sample.toArrow()["text"].to_pylist())
+def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """word, n: of the documents of a batch that hold it."""
+
+    def packed(seen: Counter) -> pa.RecordBatch:
+        columns = [pa.array(seen.keys(), pa.string()), pa.array(seen.values(), pa.int64())]
+        return pa.record_batch(columns, names=["word", "n"])
+
+    for batch in batches:
+        seen: Counter = Counter()
+        for text in batch.column(0):
+            seen.update(set(_WORD.findall((text.as_py() or "").lower())))
+            if len(seen) >= 100_000:
+                yield packed(seen)
+                seen = Counter()
+        yield packed(seen)
+
+
+def _pair_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """cell, n: pairs of letter codes within words, weighed by documents."""
+    seen = np.zeros(38 * 38, np.int64)
+    for batch in batches:
+        words, n = batch.column(0).to_pylist(), batch.column(1).to_numpy()
+        codes = _codes("".join(words)).astype(np.int64)
+        of = np.repeat(np.arange(len(words)), [len(w) for w in words])
+        within = np.flatnonzero(of[1:] == of[:-1])
+        cells = codes[within] * 38 + codes[within + 1]
+        np.add.at(seen, cells, n[of[within]])
+    some = np.flatnonzero(seen)
+    yield pa.record_batch([pa.array(some), pa.array(seen[some])], names=["cell", "n"])
+
+
+def profile(documents: DataFrame) -> Profile:
+    """From document frequencies of the words of all whole texts."""
+    counted = documents.select(F.col("text").cast("string")).mapInArrow(_word_rows, "word string, n bigint")
+    words = stored(counted.groupBy("word").agg(F.sum("n").alias("n")), "profile-words")
+    cells = words.mapInArrow(_pair_rows, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n"))
+    got = cells.toArrow()
+    pairs = np.ones(38 * 38)
+    pairs[got["cell"].to_numpy()] += got["n"].to_numpy()
+    known = words.where((F.col("n") >= LEAST_DOCS) & (F.length("word") >= 3)).select("word")
+    return Profile(frozenset(known.toArrow()["word"].to_pylist()), pairs.reshape(38, 38))
 
 
 def _feature(name: str):

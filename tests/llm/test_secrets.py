@@ -48,6 +48,13 @@ def test_finds_planted_secrets_and_masks_only_them(spark):
     assert all(same[i] == t for i, t, *_ in rows if i not in planted and i is not None)
 
 
+def test_profile_counts_every_text(spark):
+    rows = [(i, f"common {'rareword' if i % 1000 == 0 else 'x'}", "s", 1, "", 0) for i in range(3000)]
+    rows += [(5000 + i, "longtext " + "y " * 20000, "s", 1, "", 0) for i in range(3)]
+    profile = S.profile(spark.createDataFrame(rows, DOCS))
+    assert profile.words == {"common", "rareword", "longtext"}
+
+
 def test_labelled_findings_decide(spark):
     rows, planted = corpus()
     docs = spark.createDataFrame(rows, DOCS)
