@@ -1,21 +1,25 @@
 """Secret scan: candidates by pattern, false positives removed by a random forest.
 
-Candidates are runs of ``LEAST`` or more characters that keys are made of, found in whole texts.
-Each gets numbers that describe its length, its character transitions (mean likelihood under a
-table of letter pairs, changes of character class, entropy, shares of digits and of hexadecimal
-digits), how much of it dictionary words cover, its path, and the words next to it. A random
-forest (Spark ML), trained on labelled findings, gives the probability of a secret.
+Candidates are found in whole texts: runs of ``LEAST`` or more characters that keys are made of, and,
+whatever their length and characters, values that are assigned, quoted, sent as a credential in a
+header or a URL, or told after a word like "password". Candidates may overlap. Each gets numbers that
+describe its length, its character transitions (mean likelihood under a table of letter pairs,
+changes of character class, entropy, shares of digits, symbols and hexadecimal digits), how much of
+it dictionary words cover, its path, its place and the words next to it. A random forest (Spark ML),
+trained on labelled findings, gives the probability of a secret.
 
 Labelled findings are a table of the same columns with ``label``. Where none are at hand,
-``weak_labels`` marks those of a sample by a strict rule: an entropic quoted value assigned to a
-telling name is a secret, everything else is none.
+``weak_labels`` marks secrets by several independent forms (prefixes of known keys, quoted and
+unquoted assignments to telling names, headers, URLs) and others by signs that speak against
+one (dictionary words, plain numbers and names in no telling place). What neither rule decides
+stays unlabelled.
 
-The profile (dictionary and letter pairs) and the labelled findings come from samples bounded by
-``PROFILE_DOCS`` and ``TRAIN_ROWS``; every text is scanned whole.
+The profile (dictionary and letter pairs) comes from all documents; labelled findings are a sample of
+at most ``TRAIN_ROWS`` of each kind; every text is scanned whole.
 
 Defined results: null and empty texts have no candidates; a null path counts as an empty one;
 without labelled findings of both kinds every candidate gets the share of secrets among the
-labelled ones; rows with equal id and text are scanned each.
+labelled ones; rows with equal id and text are scanned each; overlapping secrets are masked as one.
 """
 
 from __future__ import annotations
@@ -41,6 +45,31 @@ LEAST_DOCS = 3  # that hold a word of the dictionary
 TREES, DEPTH, SEED = 40, 8, 7
 MASK = "[SECRET]"
 _CANDIDATE = re.compile(rf"[A-Za-z0-9+/_\-]{{{LEAST},}}={{0,2}}")
+_NAME = r"token|secret|passw(?:or)?d|passphrase|pwd|credentials?|(?:api|access|private)[ _-]?key"
+#: the group "v" of each is a value in the place of a credential or of any other value
+_PLACES = [
+    re.compile(r)
+    for r in (
+        r"[\w\]][\"'`]?[ \t]*(?:=>|:=|==?|:)[ \t]*([\"'`])(?P<v>[^\n]+?)(?<!\\)\1",
+        r"[?&;][\w.\-]+=(?P<v>[^\s&#\"'`<>]+)",
+        r"(?<![?&;\w.\-])[\w.\-]+[\"'`]?(?:[ \t]*(?:=>|:=|==?)[ \t]*|:[ \t]+|:(?!//))(?P<v>[^\s\"'`=>:][^\s\"'`]*)",
+        r"(?<!\w)([\"'`])(?P<v>[^\s\"'`]+)\1(?!\w)",
+        r"://[^\s/:@]*:(?P<v>[^\s/]+)@",
+        r"(?<![\w/:])[\w.+\-]+:(?P<v>[^\s/][^\s]*)@[\w.\-]+",
+        r"(?i)\b(?:bearer|basic)[ \t]+(?P<v>[^\s\"'`,;]+)",
+        rf"(?i)\b(?:{_NAME})s?(?:[ \t]+(?:is|was))?[ \t]+(?P<v>[^\s\"'`=:][^\s\"'`]*)",
+    )
+]
+#: for each place, groups of strings of which a text (in lower case) holds one each, or no such value
+_SIGNS = [
+    ("=:", "\"'`"), ("=",), ("=:",), ("\"'`",), (["://"], "@"), (":", "@"), (["bearer", "basic"],),
+    (["token", "secret", "passw", "passphrase", "pwd", "credential", "key"],),
+]
+_KNOWN_KEY = (
+    r"^((AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|github_pat_\w{22,}|glpat-[\w\-]{20,}"
+    r"|(sk|rk)_(live|test)_[A-Za-z0-9]{16,}|xox[abprs]-[\w\-]{10,}|AIza[\w\-]{35}|npm_[A-Za-z0-9]{36}"
+    r"|SG\.[\w\-]{16,}\.[\w\-]{16,}|eyJ[\w\-]{8,}\.eyJ[\w\-]{8,}\.[\w\-]*)$"
+)
 _WORD = re.compile(r"[^\W\d_]+")
 _TELLING = re.compile(
     r"token|secret|passw|pwd|api|key|auth|bearer|credential|private|signature", re.IGNORECASE
@@ -48,13 +77,14 @@ _TELLING = re.compile(
 _TEST_PATH = re.compile(r"test|example|sample|doc|mock|fixture|demo", re.IGNORECASE)
 FEATURES = (
     "length transitions least_transition changes entropy digits hexadecimal upper covered"
-    " path_depth path_is_test telling_before telling_after assigned quoted words_around"
+    " path_depth path_is_test telling_before telling_after assigned quoted words_around symbols blanks"
+    " classes in_url header"
 ).split()
 FINDING = "start int, size int, candidate string, features array<double>"
 
 
 class Profile:
-    """Dictionary words and log-likelihoods of letter pairs, from a bounded sample of texts."""
+    """Dictionary words and log-likelihoods of letter pairs."""
 
     def __init__(self, words: frozenset[str], pairs: np.ndarray) -> None:
         self.words = words
@@ -90,7 +120,7 @@ def _features(text: str, low: int, high: int, path: str, profile: Profile) -> li
     value = text[low:high]
     lower, n = value.lower(), high - low
     codes = _codes(lower)
-    steps = profile.pairs[codes[:-1], codes[1:]]
+    steps = profile.pairs[codes[:-1], codes[1:]] if n > 1 else np.zeros(1)
     windows = np.convolve(steps, np.ones(8) / 8, "valid") if len(steps) >= 8 else steps
     kind = np.digitize(codes, [26, 36])
     shares = np.array(list(Counter(value).values())) / n
@@ -102,7 +132,7 @@ def _features(text: str, low: int, high: int, path: str, profile: Profile) -> li
         float(n),
         float(steps.mean()),
         float(windows.min()),
-        float((kind[1:] != kind[:-1]).mean()),
+        float((kind[1:] != kind[:-1]).mean()) if n > 1 else 0.0,
         float(-(shares * np.log2(shares)).sum()),
         sum(c.isdigit() for c in value) / n,
         sum(c in "0123456789abcdef" for c in lower) / n,
@@ -115,9 +145,35 @@ def _features(text: str, low: int, high: int, path: str, profile: Profile) -> li
         float(joined.rstrip()[-1:] in ("=", ":")),
         float(before[-1:] in ("\"", "'", "`") and after[:1] == before[-1:]),
         float(np.mean([profile.covered(w.lower()) for w in [*near, *next_] if w] or [0.0])),
+        sum(not c.isalnum() for c in value) / n,
+        sum(c.isspace() for c in value) / n,
+        float(sum(any(map(t, value)) for t in (str.islower, str.isupper, str.isdigit, _symbol))),
+        float(after[:1] == "@" and before[-1:] == ":"),
+        float(bool(re.search(r"(?i)\b(?:bearer|basic)\s+$", before))),
     ]
 
 
+def _symbol(c: str) -> bool:
+    return not c.isalnum()
+
+
+def _spans(text: str) -> list[tuple[int, int]]:
+    """Start and end of the candidates of a text, in order."""
+    found = {m.span() for m in _CANDIDATE.finditer(text)}
+    lower = text.lower()
+    for place, signs in zip(_PLACES, _SIGNS, strict=True):
+        if not all(any(sign in lower for sign in group) for group in signs):
+            continue
+        for m in place.finditer(text):
+            low, high = m.span("v")
+            if place is not _PLACES[0]:
+                # Closing punctuation of a sentence or a bracket; "!" and the like may belong to it.
+                high = low + len(text[low:high].rstrip(".,;:)]}>")) or high
+            if low < high:
+                found.add((low, high))
+    return sorted(found)
+
+
 def candidates(documents: DataFrame, profile: Profile, path: str = "source") -> DataFrame:
     """doc_id, row_key and the columns of ``FINDING`` of each candidate in ``documents``
     (doc_id, text and the path)."""
@@ -136,10 +192,9 @@ def candidates(documents: DataFrame, profile: Profile, path: str = "source") ->
             columns = [batch.column(i) for i in range(4)]
             for doc_id, row_key, text, where in zip(*columns, strict=True):
                 text = text.as_py() or ""
-                for found in _CANDIDATE.finditer(text):
-                    low, high = found.span()
+                for low, high in _spans(text):
                     numbers = _features(text, low, high, where.as_py() or "", sent.value)
-                    value = (doc_id.as_py(), row_key.as_py(), low, high - low, found[0], numbers)
+                    value = (doc_id.as_py(), row_key.as_py(), low, high - low, text[low:high], numbers)
                     rows.append(value)
                     if len(rows) == 2000:
                         yield packed(rows)
@@ -250,8 +305,9 @@ def report(documents: DataFrame) -> DataFrame:
 def _masked(text: str, spans: list[dict]) -> str:
     out, at = [], 0
     for start, size in sorted({(s["start"], s["size"]) for s in spans}):
-        out += [text[at:start], MASK]
-        at = start + size
+        if not out or start >= at:
+            out += [text[at:start], MASK]
+        at = max(at, start + size)
     return "".join([*out, text[at:]])
 
 

@@ -48,6 +48,15 @@ def test_finds_planted_secrets_and_masks_only_them(spark):
     assert all(same[i] == t for i, t, *_ in rows if i not in planted and i is not None)
 
 
+def test_candidates_of_any_length_and_character():
+    for text, value in (
+        ('password = "Tr0ub4dor&3x!"', "Tr0ub4dor&3x!"), ("x bob:p@s:s!w%d@host.example y", "p@s:s!w%d"),
+        ("pin: 12ab", "12ab"), ("k = 'a'", "a"), ("ftp://u:a.b@h", "a.b"), ('"s": "two words."', "two words."),
+    ):
+        assert value in {text[a:b] for a, b in S._spans(text)}, text
+    assert S._masked("abcdefgh", [{"start": 1, "size": 5}, {"start": 2, "size": 2}, {"start": 5, "size": 2}]) == "a[SECRET]h"
+
+
 def test_profile_counts_every_text(spark):
     rows = [(i, f"common {'rareword' if i % 1000 == 0 else 'x'}", "s", 1, "", 0) for i in range(3000)]
     rows += [(5000 + i, "longtext " + "y " * 20000, "s", 1, "", 0) for i in range(3)]
