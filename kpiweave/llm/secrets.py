@@ -254,12 +254,33 @@ def _feature(name: str):
 
 
 def weak_labels(found: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
-    """At most ``rows`` findings in hash order, with ``label`` by the strict rule."""
-    named = (_feature("telling_before") == 1) & (_feature("assigned") == 1)
-    strong = (_feature("quoted") == 1) & (_feature("entropy") >= 3) & (_feature("digits") > 0.1)
-    label = (named & strong).cast("double").alias("label")
-    order = F.xxhash64(F.lit("findings"), "doc_id", "row_key", "start")
-    return found.select("*", label).orderBy(order, "doc_id", "row_key", "start").limit(rows)
+    """At most ``rows`` findings of each kind in hash order, with ``label``; findings that no rule
+    decides are left out."""
+    f = {name: _feature(name) for name in FEATURES}
+    telling, placed = f["telling_before"] == 1, (f["assigned"] == 1) | (f["quoted"] == 1)
+    value, size = F.col("candidate"), f["length"]
+    plain = (f["blanks"] == 0) & (f["covered"] < 0.5)
+    random = plain & (size >= 8) & (f["entropy"] >= 2.5) & (f["classes"] >= 2)
+    mixed = random & ((f["digits"] > 0.1) | (f["classes"] >= 3))
+    long = (f["blanks"] == 0) & (f["covered"] < 0.3) & (size >= LEAST) & (f["entropy"] >= 3.5)
+    secret = (
+        value.rlike(_KNOWN_KEY)
+        | (telling & (f["assigned"] == 1) & (f["quoted"] == 1) & (f["entropy"] >= 3) & (f["digits"] > 0.1) & plain)
+        | (telling & (f["assigned"] == 1) & (mixed | long))
+        | ((f["header"] == 1) & (size >= 16) & mixed)
+        | ((f["in_url"] == 1) & mixed)
+    )
+    place = telling | (f["header"] == 1) | (f["in_url"] == 1)
+    words = (f["covered"] >= 0.7) & (f["digits"] == 0)
+    number = value.rlike(r"^[\d.,:/+\-]+$") & ~place
+    name = value.rlike(r"^[\p{L}.'\-]+$") & ~place & (size < LEAST)
+    sentence = (f["blanks"] > 0) & ~place
+    short = placed & ~place & (f["entropy"] < 2)
+    other = words | number | name | sentence | short
+    label = F.when(secret, 1.0).when(other, 0.0).alias("label")
+    order = F.xxhash64(F.lit("findings"), "doc_id", "row_key", "start", "size")
+    known = found.select("*", label).where("label IS NOT NULL").orderBy(order, "doc_id", "row_key", "start", "size")
+    return known.where("label = 1").limit(rows).unionByName(known.where("label = 0").limit(rows))
 
 
 def train(labelled: DataFrame):
