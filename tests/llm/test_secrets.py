@@ -48,6 +48,44 @@ def test_finds_planted_secrets_and_masks_only_them(spark):
     assert all(same[i] == t for i, t, *_ in rows if i not in planted and i is not None)
 
 
+def forms(rng, i):
+    """A secret of the form i, and the text around it."""
+    lower, digits = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    upper = lower.upper()
+
+    def some(n, of):
+        return "".join(rng.choice(of) for _ in range(n))
+
+    password = f"{some(1, upper)}{some(2, lower)}{some(2, digits)}{some(3, lower)}&{some(1, digits)}x!"
+    return [
+        ("prefix in prose", v := "AKIA" + some(16, upper + digits), f"use {v} now"),
+        ("unquoted", v := some(32, lower + digits), f"API_KEY={v}"),
+        ("bearer", v := some(40, lower + upper + digits), f"Authorization: Bearer {v}"),
+        ("url password", v := some(4, lower) + some(4, digits) + "x", f"postgres://bob:{v}@db.example/x"),
+        ("url parameter", v := some(24, lower + digits), f"https://a.example/x?token={v}&y=1"),
+        ("quoted password", password, f'password = "{password}"'),
+        ("unquoted password", password, f"password: {password}"),
+        ("told password", password, f"the password is {password} for now"),
+        ("few digits", v := some(24, lower + upper), f'secret = "{v}"'),
+    ][i]
+
+
+def test_recall_of_each_form(spark):
+    rng = random.Random(9)
+    rows, planted, seen = corpus()[0], {}, {}
+    for i in range(270):
+        name, value, around = forms(rng, i % 9)
+        rows.append((1000 + i, f"{rows[i][1][:100]} {around} {rows[i + 1][1][:60]}", "src", 1, "x", 0))
+        planted[1000 + i] = (name, value)
+    judged = S.scan(spark.createDataFrame(rows, DOCS))
+    found = {(r.doc_id, r.candidate) for r in judged.where("is_secret").collect()}
+    for i, (name, value) in planted.items():
+        seen.setdefault(name, []).append((i, value) in found)
+    recall = {name: sum(hits) / len(hits) for name, hits in seen.items()}
+    print(recall)
+    assert min(recall.values()) >= 0.9, recall
+
+
 def test_candidates_of_any_length_and_character():
     for text, value in (
         ('password = "Tr0ub4dor&3x!"', "Tr0ub4dor&3x!"), ("x bob:p@s:s!w%d@host.example y", "p@s:s!w%d"),
