@@ -3,11 +3,12 @@
 Texts are normalised here (``charmap``): the longest key of the model's compiled character map is
 replaced at each character, and the source of every normalised byte is kept. No piece of a model
 that keeps to word borders holds the mark of a space behind another character, so a text's pieces
-are those of its words, each with the marks before it. A worker asks the library, with the model's
-normalisation switched off, for the pieces of words it has not met, and puts the pieces of the
-texts together in numpy: ids, and spans projected to the bytes of the source. A model with pieces
-across word borders is given whole texts. Documents are not shuffled, and a worker's memory is
-bounded by a slice of texts and ``CACHED`` words.
+are those of its words, each with the marks before it; words are cut further between characters that
+no piece has side by side. A worker asks the library, with the model's normalisation switched off,
+for the pieces of words it has not met, and puts the pieces of the texts together in numpy: ids,
+and spans projected to the bytes of the source. A model with pieces across word borders is given
+whole texts. Documents are not shuffled, and a worker's memory is bounded by a slice of texts and
+``CACHED`` words.
 
 Defined results: a null text is an empty one, without ids; a text is encoded whole, however long;
 rows are independent of each other, so repeated rows and ties mean nothing; input columns named
@@ -33,13 +34,13 @@ from kpiweave.llm import tokens
 from kpiweave.llm.charmap import MARK, CharMap, Rules, found, normalise, ragged
 
 SPANS = "ids array<int>, starts array<int>, ends array<int>"
-CACHED = 200_000  # words whose pieces a worker keeps
-LONGEST = 64  # bytes of such a word
-_USER_DEFINED = 4
+CACHED = 400_000  # words whose pieces a worker keeps
+CACHED_BYTES = 32 << 20  # and their letters
+_USER_DEFINED, _BYTE = 4, 6  # types of pieces in the model file
 
 
 class Model:
-    """A model read from the bytes of its file."""
+    """A model read from the bytes of its file, and the pieces of the words met so far."""
 
     def __init__(self, content: bytes):
         proto = sentencepiece_model_pb2.ModelProto.FromString(content)
@@ -57,15 +58,38 @@ class Model:
         )
         mark = MARK.decode()
         self.by_word = all(mark not in p.piece.lstrip(mark) for p in proto.pieces)
+        self.bytes_for_unknown = proto.trainer_spec.byte_fallback
+        #: the byte that a piece stands for; -1 for others
+        self.byte = np.array([int(p.piece[1:-1], 16) if p.type == _BYTE else -1 for p in proto.pieces])
+        self.width = np.array([len(p.piece.encode()) for p in proto.pieces])
+        self.width[self.byte >= 0] = 1
+        self.tied = self._ties([p.piece.encode() for p in proto.pieces])
         self.whole = sentencepiece.SentencePieceProcessor(model_proto=content)
         spec.Clear()
         spec.add_dummy_prefix = spec.remove_extra_whitespaces = spec.escape_whitespaces = False
         self.plain = sentencepiece.SentencePieceProcessor(model_proto=proto.SerializeToString())
-        self.known: dict[bytes, tuple[list[int], list[int], list[int]]] = {}
+        self._forget()
+
+    def _ties(self, pieces: list[bytes]) -> np.ndarray:
+        """Which bytes stand side by side where two characters of some piece meet. A piece never
+        spans other places, so a text may be cut there."""
+        tied = np.full((256, 256), not self.bytes_for_unknown)
+        for piece in pieces:
+            for a, b in itertools.pairwise(piece):
+                tied[a, b] |= (b & 0xC0) != 0x80
+        return tied
+
+    def _forget(self) -> None:
+        self.known: dict[bytes, int] = {}
+        self.known_bytes = 0
+        self.first = np.zeros(1, np.int64)
+        self.ids = self.widths = np.zeros(0, np.int32)
 
     def _cuts(self, data: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """Where words begin: at the start of a text, and at a mark behind another character."""
+        """Where words begin: at the start of a text, at a mark behind another character, and
+        between characters that no piece has side by side."""
         begins = np.zeros(len(data), bool)
+        begins[1:] = ((data[1:] & 0xC0) != 0x80) & ~self.tied[data[:-1], data[1:]]
         begins[first[:-1][np.diff(first) > 0]] = True
         if self.by_word:
             here = found(data)
@@ -73,51 +97,73 @@ class Model:
             begins |= here & ~behind
         return np.flatnonzero(begins)
 
-    def _pieces(self, words: list[bytes]) -> list[tuple[list[int], list[int], list[int]]]:
-        """Ids, starts and ends, in bytes of the word, of each word."""
-        new = [w for w in words if w not in self.known]
-        fresh = {}
-        if new:
-            for w, got in zip(new, self.plain.encode(new, return_type="offset_mapping", num_threads=1)):
-                spans = got["offsets"]
-                fresh[w] = (got["ids"], [s for s, _ in spans], [e for _, e in spans])
-        out = [self.known.get(w) or fresh[w] for w in words]
-        if len(self.known) > CACHED:
-            self.known.clear()
-        self.known.update((w, p) for w, p in fresh.items() if len(w) <= LONGEST)
-        return out
+    def _learn(self, words: list[bytes]) -> None:
+        """Adds the pieces of new words and the bytes that each piece takes."""
+        if self.bytes_for_unknown:
+            lists = self.plain.encode(words, num_threads=1)
+            size = np.fromiter(map(len, lists), np.int64, len(lists))
+            ids = np.fromiter(itertools.chain.from_iterable(lists), np.int32, int(size.sum()))
+            widths = self.width[ids].astype(np.int32)
+        else:
+            got = self.plain.encode(words, return_type="offset_mapping", num_threads=1)
+            size = np.array([len(g["ids"]) for g in got], np.int64)
+            ids = np.array([i for g in got for i in g["ids"]], np.int32)
+            widths = np.array([e - s for g in got for s, e in g["offsets"]], np.int32)
+        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(size)])
+        self.ids = np.concatenate([self.ids, ids])
+        self.widths = np.concatenate([self.widths, widths])
+        self.known_bytes += sum(map(len, words))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """first, ids, starts, ends: text i has the pieces ``first[i] : first[i + 1]``, and the
         spans are bytes of the text."""
         raw, offsets = tokens._buffer(texts)
         norm = normalise(raw, offsets, self.rules)
+        if len(self.known) > CACHED or self.known_bytes > CACHED_BYTES:
+            self._forget()
         low = self._cuts(norm.data, norm.first)
         high = np.append(low[1:], len(norm.data))
-        content = norm.data.tobytes()
-        number: dict[bytes, int] = {}
+        content, known = norm.data.tobytes(), self.known
+        before = len(known)
         code = np.fromiter(
-            (number.setdefault(content[a:b], len(number)) for a, b in zip(low.tolist(), high.tolist())),
+            (known.setdefault(content[a:b], len(known)) for a, b in zip(low.tolist(), high.tolist())),
             np.int64,
             len(low),
         )
-        own = self._pieces(list(number))
-        size = np.fromiter((len(ids) for ids, _, _ in own), np.int64, len(own))
-        flat = [
-            np.fromiter(itertools.chain.from_iterable(f[k] for f in own), np.int64, int(size.sum()))
-            for k in range(3)
-        ]
-        count = size[code]
-        pick = ragged((np.cumsum(size) - size)[code], count)
-        at = np.repeat(low, count)
-        text = np.repeat(np.searchsorted(norm.first, low, side="right") - 1, count)
-        start = norm.source[at + flat[1][pick]]
-        end_at = at + flat[2][pick]
-        inside = end_at < norm.first[text + 1]
+        if len(known) > before:
+            self._learn(list(itertools.islice(known, before, None)))
+        pick = ragged(self.first[code], self.first[code + 1] - self.first[code])
+        ids = self.ids[pick]
+        # The pieces of all words, one after the other, cover the normalised texts.
+        stop = np.cumsum(self.widths[pick], dtype=np.int64)
+        begin = stop - self.widths[pick]
+        first = np.searchsorted(begin, norm.first)
+        text = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
+        stop, begin = self._characters(ids, begin, stop)
+        start = norm.source[begin]
         end = norm.last[text]
-        end[inside] = norm.source[end_at[inside]]
-        first = np.searchsorted(text, np.arange(len(offsets)))
-        return first, flat[0][pick], start - offsets[text], end - offsets[text]
+        inside = stop < norm.first[text + 1]
+        end[inside] = norm.source[stop[inside]]
+        same = stop == begin
+        end[same] = start[same]
+        return first, ids, start - offsets[text], end - offsets[text]
+
+    def _characters(self, ids, begin, stop):
+        """A character without a piece is spelt in bytes: its last byte has its span, the others
+        are empty and stand at its start."""
+        byte = self.byte[ids]
+        if not np.any(byte >= 0):
+            return stop, begin
+        lead = (byte >= 0) & ((byte & 0xC0) != 0x80)
+        head = np.maximum.accumulate(np.where(lead, np.arange(len(ids)), 0))
+        letter = byte[head]
+        size = 1 + (letter >= 0xC0) + (letter >= 0xE0) + (letter >= 0xF0)
+        spelt = byte >= 0
+        closing = np.arange(len(ids)) - head + 1 == size
+        begin, stop = begin.copy(), stop.copy()
+        begin[spelt] = begin[head][spelt]
+        stop[spelt & ~closing] = begin[spelt & ~closing]
+        return stop, begin
 
 
 _models: dict[int, Model] = {}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from kpiweave.llm import (
@@ -9,8 +10,11 @@ from kpiweave.llm import (
     decontaminate,
     jaccard,
     language_model,
+    lexical,
+    manifest,
     mixing,
     pagetext,
+    pieces,
     secrets,
     substrings,
     toxicity,
@@ -62,6 +66,19 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return pieces.report(table(spark, sf_dir, "documents"), model)
+
+
+def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_decontaminate": op2_decontaminate,
@@ -73,4 +90,7 @@ QUERIES = {
     "op8_substrings": op8_substrings,
     "op9_jaccard": op9_jaccard,
     "op10_toxicity": op10_toxicity,
+    "op11_pieces": op11_pieces,
+    "op12_search": op12_search,
+    "op13_manifest": op13_manifest,
 }

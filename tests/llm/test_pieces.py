@@ -71,6 +71,20 @@ def test_words_beyond_the_cache_are_encoded_again(monkeypatch):
         assert len(own.known) < 600
 
 
+def test_a_model_without_bytes_for_unknown_characters():
+    proto = sentencepiece_model_pb2.ModelProto.FromString(model_with("nmt_nfkc", True, True))
+    proto.trainer_spec.byte_fallback = False
+    for piece in proto.pieces:
+        piece.type = 1 if piece.type == 6 else piece.type
+    content = proto.SerializeToString()
+    own, processor = pieces.Model(content), sentencepiece.SentencePieceProcessor(model_proto=content)
+    texts = odd_texts(500)
+    first, ids, starts, ends = own.encode(pa.array(texts))
+    for i, text in enumerate(texts):
+        s = slice(first[i], first[i + 1])
+        assert (ids[s].tolist(), list(zip(starts[s].tolist(), ends[s].tolist()))) == by_library(processor, text)
+
+
 def digest(text):
     return hashlib.sha256(text.encode()).hexdigest()
 
