@@ -14,6 +14,7 @@ def exact_percentiles(
     value: str,
     probabilities: Mapping[str, float],
     bucket_width: int = 65_536,
+    weight: str | None = None,
 ) -> DataFrame:
     """keys, n, one double per probability: the same number as a full sort would give.
 
@@ -21,10 +22,12 @@ def exact_percentiles(
     running total over coarse buckets of ``bucket_width`` says which bucket holds a wanted
     rank, a running total inside only that bucket says which value. No group is ever sorted
     or held whole by one task: a task sees the buckets of a group, or one bucket's values.
+    ``weight`` names a column that says how often a row counts.
     """
     keys = list(keys)
     bucket = F.floor(F.col(value) / F.lit(bucket_width)).cast("bigint").alias("_bucket")
-    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
+    times = F.sum(weight) if weight else F.count("*")
+    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(times.alias("_n"))
 
     by_group = Window.partitionBy(*keys)
     before = by_group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)

@@ -11,15 +11,18 @@ from kpiweave.operators.distinct import conditional_distinct, daily_distinct
 from kpiweave.plans.staging import NTZ, not_test_account
 
 
-def int_daily_active_users(stg_events: DataFrame, stg_users: DataFrame) -> DataFrame:
-    """Logins per (local day, user, platform), tagged new on the signup day."""
-    logins = (
-        stg_events.where(F.col("event_name") == V.LOGIN)
-        .groupBy(F.col("event_date_kst").alias("activity_date"), "user_id", "platform")
-        .agg(F.count("*").alias("login_count"))
-    )
+def daily_logins(stg_events: DataFrame) -> DataFrame:
+    """Logins per (local day, user, platform). Parts of a day add up."""
+    logins = stg_events.where(F.col("event_name") == V.LOGIN)
+    keys = [F.col("event_date_kst").alias("activity_date"), "user_id", "platform"]
+    return logins.groupBy(*keys).agg(F.count("*").alias("login_count"))
+
+
+def tagged_logins(daily_logins: DataFrame, stg_users: DataFrame) -> DataFrame:
+    """``daily_logins``, each new on the signup day or else returning."""
     is_new = F.col("activity_date") == F.col("signup_date")
-    return logins.join(stg_users.select("user_id", "signup_date"), "user_id", "left").select(
+    signups = stg_users.select("user_id", "signup_date")
+    return daily_logins.join(signups, "user_id", "left").select(
         "activity_date",
         "user_id",
         "platform",
@@ -29,6 +32,11 @@ def int_daily_active_users(stg_events: DataFrame, stg_users: DataFrame) -> DataF
     )
 
 
+def int_daily_active_users(stg_events: DataFrame, stg_users: DataFrame) -> DataFrame:
+    """Logins per (local day, user, platform), tagged new on the signup day."""
+    return tagged_logins(daily_logins(stg_events), stg_users)
+
+
 def _daily_flags() -> dict:
     return {
         "new_users": F.col("user_type") == "new",

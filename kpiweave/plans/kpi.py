@@ -15,9 +15,12 @@ from kpiweave.plans.staging import NTZ
 
 
 def mart_daily_kpi(int_dau: DataFrame, stg_transactions: DataFrame) -> DataFrame:
-    """One row per local day with some login. Everything joined here is one row per day."""
-    users = daily_and_rolling_users(int_dau)
-    money = daily_transactions(stg_transactions)
+    """One row per local day with some login."""
+    return daily_kpi(daily_and_rolling_users(int_dau), daily_transactions(stg_transactions))
+
+
+def daily_kpi(users: DataFrame, money: DataFrame) -> DataFrame:
+    """The mart from one row per day of users and one of transactions."""
     dow = weekday0(F.col("activity_date"))
 
     def or_zero(name: str, alias: str | None = None):

@@ -50,15 +50,68 @@ def daily_transactions(stg_transactions: DataFrame) -> DataFrame:
     )
 
 
+#: What sums per (day, type, status) hold; parts of a day add up.
+DAY_SUMS = ("n", "amount", "fee")
+
+
+def daily_transactions_of(sums: DataFrame) -> DataFrame:
+    """``daily_transactions`` from sums per (day, type, status): ``DAY_SUMS``."""
+    done, transfer, qr = _is("completed"), _type("transfer"), _type("qr_payment")
+    amount, n = F.col("amount"), F.col("n")
+    completed, moved = sum_where(n, done), sum_where(n, done & transfer)
+    return sums.groupBy("transaction_date").agg(
+        F.sum(n).alias("total_transactions"),
+        completed.alias("completed_transactions"),
+        sum_where(n, _is("failed")).alias("failed_transactions"),
+        sum_where(amount, done).alias("gmv"),
+        sum_where(amount, done & transfer).alias("transfer_gmv"),
+        sum_where(amount, done & qr).alias("qr_payment_gmv"),
+        sum_where(F.col("fee"), done).alias("total_fee_revenue"),
+        per(sum_where(amount, done), completed).alias("avg_transaction_amount"),
+        per(sum_where(amount, done & transfer), moved).alias("avg_transfer_amount"),
+        moved.alias("transfer_count"),
+        sum_where(n, done & qr).alias("qr_payment_count"),
+        sum_where(n, done & _type("charge")).alias("charge_count"),
+        pct(completed, F.sum(n)).alias("success_rate"),
+    )
+
+
+REVENUE_KEYS = ("transaction_month", "transaction_type")
+#: What sums per (month, type, user) and counts per (month, type, amount) hold; parts of a
+#: month add up. ``paid`` counts completed transactions with a fee.
+USER_MONTH_SUMS = ("n", "completed", "gmv", "fee_revenue", "paid")
+AMOUNT_COUNTS = ("n",)
+
+
+def revenue_of(months: DataFrame, counts: DataFrame) -> DataFrame:
+    """``mart_revenue`` from ``USER_MONTH_SUMS`` and the ``AMOUNT_COUNTS`` of completed ones."""
+    base = conditional_distinct(
+        months,
+        REVENUE_KEYS,
+        "user_id",
+        "unique_users",
+        flags={"paying_users": F.col("paid") > 0},
+        partials={
+            "total_transactions": ("sum", F.sum("n")),
+            "completed_count": ("sum", F.sum("completed")),
+            "gmv": ("sum", F.sum("gmv")),
+            "fee_revenue": ("sum", F.sum("fee_revenue")),
+        },
+    )
+    medians = exact_percentiles(
+        counts, REVENUE_KEYS, "amount", {"median_amount": 0.5}, weight="n"
+    )
+    return _revenue(base, medians)
+
+
 def mart_revenue(stg_transactions: DataFrame) -> DataFrame:
     """Month x type. Users are counted over one row per (month, type, user); the median
     comes from value counts, so no task holds the amounts of a whole month."""
-    keys = ["transaction_month", "transaction_type"]
     done = _is("completed")
     amount, fee = F.col("amount"), F.col("fee")
     base = conditional_distinct(
         stg_transactions,
-        keys,
+        REVENUE_KEYS,
         "user_id",
         "unique_users",
         flags={"paying_users": done & (fee > 0)},
@@ -70,8 +123,14 @@ def mart_revenue(stg_transactions: DataFrame) -> DataFrame:
         },
     )
     medians = exact_percentiles(
-        stg_transactions.where(done), keys, "amount", {"median_amount": 0.5}
-    ).select(*[F.col(k).alias(f"_{k}") for k in keys], "median_amount")
+        stg_transactions.where(done), REVENUE_KEYS, "amount", {"median_amount": 0.5}
+    )
+    return _revenue(base, medians)
+
+
+def _revenue(base: DataFrame, medians: DataFrame) -> DataFrame:
+    keys = REVENUE_KEYS
+    medians = medians.select(*[F.col(k).alias(f"_{k}") for k in keys], "median_amount")
     same = F.lit(True)
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))

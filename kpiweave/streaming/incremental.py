@@ -1,51 +1,41 @@
 """Refresh only the parts of the marts that newly arrived rows can change.
 
-The lake keeps raw rows by date, below the query and the number of the batch that brought
-them, so a replayed batch replaces itself and nothing else. A login on day d changes the trailing
-30-day users of d .. d+29, so those days are computed again from d-29 on; a transaction changes
-its day and its month. The days that a batch touches are listed, so one stray date refreshes its
-own reach only. All reads are cut to date partitions. The two feeds write the same mart: run
-them one after the other.
+Of each batch only partial sums are kept: logins per (day, user, platform), transactions per (day,
+type, status), per (month, type, user) and per (month, type, amount). The marts are computed from
+these alone; no raw row is read again, not even those of the batch. A login on day d changes the
+trailing 30-day users of d .. d+29, so those days are computed again from the user-days of d-29 on;
+a transaction changes its day and its month. The days that a batch touches are listed, so one
+stray date refreshes its own reach only. The two feeds write the same mart: run them one after
+the other.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from kpiweave.functions import kst
-from kpiweave.plans.activity import ROLLING, int_daily_active_users
-from kpiweave.plans.kpi import mart_daily_kpi
-from kpiweave.plans.revenue import mart_revenue
-from kpiweave.plans.staging import NTZ, stg_events, stg_transactions
+from kpiweave.plans import activity, kpi, revenue
+from kpiweave.plans.staging import stg_events, stg_transactions
 from kpiweave.sources.writers import write_partitioned
+from kpiweave.streaming.partials import Partials
 from kpiweave.streaming.sinks import each_batch
 
-PARTS = ("day", "run", "batch")
-REACH = dt.timedelta(days=max(ROLLING.values()) - 1)
+REACH = dt.timedelta(days=max(activity.ROLLING.values()) - 1)
 
 
 @dataclass(frozen=True)
 class Lake:
-    """Where the raw rows and the marts are kept."""
+    """Where the partial sums and the marts are kept."""
 
     spark: SparkSession
     root: str
     users: DataFrame  # staged users
 
-    @property
-    def events_path(self) -> str:
-        return f"{self.root}/events"
-
-    @property
-    def transactions_path(self) -> str:
-        return f"{self.root}/transactions"
-
     @property
     def daily_kpi_path(self) -> str:
         return f"{self.root}/mart_daily_kpi"
@@ -54,30 +44,36 @@ class Lake:
     def revenue_path(self) -> str:
         return f"{self.root}/mart_revenue"
 
-    def _between(self, path: str, schema, first: dt.date, last: dt.date) -> DataFrame:
-        rows = self.spark.read.schema(schema).parquet(path)
-        return rows.where(F.col("day").between(first, last)).drop(*PARTS)
+    def _partials(self, name: str, fields: str, sums: tuple[str, ...]) -> Partials:
+        return Partials(self.spark, f"{self.root}/{name}", fields, sums)
+
+    @cached_property
+    def logins(self) -> Partials:
+        fields = "user_id string, platform string, login_count bigint"
+        return self._partials("user_days", fields, ("login_count",))
 
+    @cached_property
+    def day_sums(self) -> Partials:
+        fields = "transaction_type string, status string, n bigint, amount bigint, fee bigint"
+        return self._partials("day_sums", fields, revenue.DAY_SUMS)
 
-    def prepare(self, events_schema, transactions_schema) -> None:
-        """Creates the folders of the raw rows, so that either feed may come first."""
-        for path, schema in (
-            (self.events_path, events_schema),
-            (self.transactions_path, transactions_schema),
-        ):
-            nothing = self.spark.createDataFrame([], _with_partitions(schema))
-            nothing.write.mode("append").partitionBy(*PARTS).parquet(path)
+    @cached_property
+    def user_months(self) -> Partials:
+        sums = ", ".join(f"{name} bigint" for name in revenue.USER_MONTH_SUMS)
+        fields = f"transaction_type string, user_id string, {sums}"
+        return self._partials("user_months", fields, revenue.USER_MONTH_SUMS)
 
+    @cached_property
+    def amount_counts(self) -> Partials:
+        fields = "transaction_type string, amount bigint, n bigint"
+        return self._partials("amount_counts", fields, revenue.AMOUNT_COUNTS)
 
-def _store(batch: DataFrame, run: str, batch_id: int, day, path: str) -> list[dt.date]:
-    """Adds a batch to the lake and lists the days it touches, from the stored partitions."""
-    marks = {"day": day, "run": F.lit(run), "batch": F.lit(batch_id).cast("bigint")}
-    keyed = batch.withColumns(marks)
-    write_partitioned(keyed, path, list(PARTS))
-    stored = batch.sparkSession.read.schema(keyed.schema).parquet(path)
-    own = stored.where((F.col("run") == run) & (F.col("batch") == batch_id))
-    days = own.select("day").distinct().where(F.col("day").isNotNull()).collect()
-    return sorted(r.day for r in days)
+    def compact(self, before: dt.date) -> None:
+        """Makes one part of the parts of each day and month that ended before ``before``."""
+        self.logins.compact(before)
+        self.day_sums.compact(before)
+        self.user_months.compact(before.replace(day=1))
+        self.amount_counts.compact(before.replace(day=1))
 
 
 def spans(days: list[dt.date], reach: dt.timedelta) -> list[tuple[dt.date, dt.date]]:
@@ -99,37 +95,86 @@ def months(days: list[dt.date]) -> list[tuple[dt.date, dt.date]]:
     return [(min(x), max(x)) for x in by.values()]
 
 
-def refresh_daily_kpi(
-    lake: Lake, events_schema, transactions_schema, first: dt.date, last: dt.date
-) -> None:
+def daily_kpi_between(lake: Lake, first: dt.date, last: dt.date) -> DataFrame:
+    """The mart days first..last from the partial sums."""
+    logins = lake.logins.read(first - REACH, last).withColumnRenamed("day", "activity_date")
+    users = activity.daily_and_rolling_users(activity.tagged_logins(logins, lake.users))
+    sums = lake.day_sums.read(first, last).withColumnRenamed("day", "transaction_date")
+    mart = kpi.daily_kpi(users, revenue.daily_transactions_of(sums))
+    return mart.where(F.col("date").between(first, last))
+
+
+def revenue_between(lake: Lake, first: dt.date, last: dt.date) -> DataFrame:
+    """The mart months of first..last from the partial sums."""
+    span = (first.replace(day=1), last.replace(day=1))
+    parts = (lake.user_months.read(*span), lake.amount_counts.read(*span))
+    return revenue.revenue_of(*[p.withColumnRenamed("day", "transaction_month") for p in parts])
+
+
+def refresh_daily_kpi(lake: Lake, first: dt.date, last: dt.date) -> None:
     """Computes the mart days first..last again and replaces their partitions."""
-    events = lake._between(lake.events_path, events_schema, first - REACH, last)
-    transactions = lake._between(lake.transactions_path, transactions_schema, first, last)
-    logins = int_daily_active_users(stg_events(events), lake.users)
-    mart = mart_daily_kpi(logins, stg_transactions(transactions))
-    write_partitioned(mart.where(F.col("date").between(first, last)), lake.daily_kpi_path, ["date"])
+    write_partitioned(daily_kpi_between(lake, first, last), lake.daily_kpi_path, ["date"])
 
 
-def refresh_revenue(lake: Lake, transactions_schema, first: dt.date, last: dt.date) -> None:
+def refresh_revenue(lake: Lake, first: dt.date, last: dt.date) -> None:
     """Computes the months of first..last again and replaces their partitions."""
-    start = first.replace(day=1)
-    end = (last.replace(day=1) + dt.timedelta(days=32)).replace(day=1) - dt.timedelta(days=1)
-    rows = lake._between(lake.transactions_path, transactions_schema, start, end)
-    revenue = mart_revenue(stg_transactions(rows))
-    write_partitioned(revenue, lake.revenue_path, ["transaction_month"])
+    mart = revenue_between(lake, first, last)
+    write_partitioned(mart, lake.revenue_path, ["transaction_month"])
+
+
+def add_events(lake: Lake, events: DataFrame, run: str, batch_id: int) -> list[dt.date]:
+    """Adds the logins of raw ``events`` to the lake and lists their days."""
+    logins = activity.daily_logins(stg_events(events))
+    return lake.logins.add(logins.withColumnRenamed("activity_date", "day"), run, batch_id)
+
+
+def add_transactions(lake: Lake, rows: DataFrame, run: str, batch_id: int) -> list[dt.date]:
+    """Adds the sums of raw transactions to the lake and lists their days. The batch is read
+    once, for its sums per (day, type, status, user, amount); the stored tables follow from
+    these."""
+    staged = stg_transactions(rows)
+    keys = ["transaction_date", "transaction_type", "status", "user_id", "amount"]
+    fine = staged.groupBy(*keys).agg(
+        F.count("*").alias("n"),
+        F.sum("fee").alias("fee"),
+        F.count_if(F.col("fee") > 0).alias("with_fee"),
+    )
+    path = f"{lake.root}/transactions-incoming/{run}"
+    fine.write.mode("overwrite").parquet(path)
+    fine = lake.spark.read.schema(fine.schema).parquet(path)
+    n, done = F.col("n"), F.col("status") == "completed"
+    whole = F.col("amount") * n
+
+    def if_done(value):
+        return F.sum(F.when(done, value).otherwise(F.lit(0)))
+
+    day, month = F.col("transaction_date"), F.trunc("transaction_date", "month")
+    kind = "transaction_type"
+    by_day = fine.groupBy(day.alias("day"), kind, "status").agg(
+        F.sum(n).alias("n"), F.sum(whole).alias("amount"), F.sum("fee").alias("fee")
+    )
+    by_user = fine.groupBy(month.alias("day"), kind, "user_id").agg(
+        F.sum(n).alias("n"),
+        if_done(n).alias("completed"),
+        if_done(whole).alias("gmv"),
+        if_done(F.col("fee")).alias("fee_revenue"),
+        if_done(F.col("with_fee")).alias("paid"),
+    )
+    by_amount = fine.where(done).groupBy(month.alias("day"), kind, "amount")
+    lake.user_months.add(by_user, run, batch_id)
+    lake.amount_counts.add(by_amount.agg(F.sum(n).alias("n")), run, batch_id)
+    return lake.day_sums.add(by_day, run, batch_id)
 
 
 def feed_events(
     lake: Lake, stream: DataFrame, transactions_schema, checkpoint: str, once: bool = False
 ) -> StreamingQuery:
-    lake.prepare(stream.schema, transactions_schema)
-    schema = _with_partitions(stream.schema)
-    day = kst(F.col("event_timestamp").cast(NTZ)).cast("date")
+    """``transactions_schema`` is not needed any more: no raw transaction is read."""
 
     def apply(batch: DataFrame, run: str, batch_id: int) -> None:
-        touched = _store(batch, run, batch_id, day, lake.events_path)
+        touched = add_events(lake, batch, run, batch_id)
         for span in spans(touched, REACH):
-            refresh_daily_kpi(lake, schema, _with_partitions(transactions_schema), *span)
+            refresh_daily_kpi(lake, *span)
 
     writer = stream.writeStream.option("checkpointLocation", checkpoint)
     return each_batch(writer, apply, once)
@@ -138,21 +183,14 @@ def feed_events(
 def feed_transactions(
     lake: Lake, stream: DataFrame, events_schema, checkpoint: str, once: bool = False
 ) -> StreamingQuery:
-    lake.prepare(events_schema, stream.schema)
-    schema = _with_partitions(stream.schema)
-    day = F.col("created_at").cast(NTZ).cast("date")
+    """``events_schema`` is not needed any more: no raw event is read."""
 
     def apply(batch: DataFrame, run: str, batch_id: int) -> None:
-        touched = _store(batch, run, batch_id, day, lake.transactions_path)
+        touched = add_transactions(lake, batch, run, batch_id)
         for span in spans(touched, dt.timedelta(0)):
-            refresh_daily_kpi(lake, _with_partitions(events_schema), schema, *span)
+            refresh_daily_kpi(lake, *span)
         for span in months(touched):
-            refresh_revenue(lake, schema, *span)
+            refresh_revenue(lake, *span)
 
     writer = stream.writeStream.option("checkpointLocation", checkpoint)
     return each_batch(writer, apply, once)
-
-
-def _with_partitions(schema):
-    kinds = {"day": T.DateType(), "run": T.StringType(), "batch": T.LongType()}
-    return T.StructType([*schema.fields, *[T.StructField(n, kinds[n]) for n in PARTS]])
