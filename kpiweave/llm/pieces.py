@@ -34,8 +34,9 @@ from kpiweave.llm import tokens
 from kpiweave.llm.charmap import MARK, CharMap, Rules, found, normalise, ragged
 
 SPANS = "ids array<int>, starts array<int>, ends array<int>"
-CACHED = 400_000  # words whose pieces a worker keeps
-CACHED_BYTES = 32 << 20  # and their letters
+CACHED = 200_000  # words whose pieces a worker keeps
+CACHED_BYTES = 16 << 20  # and their letters
+SLICE = 1 << 18  # bytes of text encoded at a time; a longer text is a slice of its own
 _USER_DEFINED, _BYTE = 4, 6  # types of pieces in the model file
 
 
@@ -148,6 +149,12 @@ class Model:
         end[same] = start[same]
         return first, ids, start - offsets[text], end - offsets[text]
 
+    def decoded(self, first: np.ndarray, ids: np.ndarray) -> pa.Array:
+        """The text of each run of ids, by the library."""
+        plain = ids.tolist()
+        bounds = itertools.pairwise(first.tolist())
+        return pa.array([self.whole.decode(plain[a:b]) for a, b in bounds], pa.string())
+
     def _characters(self, ids, begin, stop):
         """A character without a piece is spelt in bytes: its last byte has its span, the others
         are empty and stand at its start."""
@@ -178,26 +185,33 @@ def _loaded(content: bytes) -> Model:
     return _models[key]
 
 
-def encode(documents: DataFrame, model: str, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
+def encode(
+    documents: DataFrame, model: str, keep: Sequence[str] = ("doc_id",), decoded: bool = False
+) -> DataFrame:
     """The columns ``keep`` with ids and, per piece, the start and end of its bytes in ``text``.
-    ``model``: the path of the model file, read once by the driver."""
+    ``model``: the path of the model file, read once by the driver. ``decoded`` adds the text of
+    the ids, as ``decode`` does, in the same pass."""
     sent = documents.sparkSession.sparkContext.broadcast(Path(model).read_bytes())
-    kept = [c for c in keep if c not in ("ids", "starts", "ends")]
-    fields = [documents.schema[c] for c in kept]
-    schema = T.StructType([*fields, *T._parse_datatype_string(SPANS).fields])
+    more = ("decoded",) if decoded else ()
+    added = ("ids", "starts", "ends", *more)
+    kept = [c for c in keep if c not in added]
+    fields = [*[documents.schema[c] for c in kept], *T._parse_datatype_string(SPANS).fields]
+    fields += [T.StructField(name, T.StringType()) for name in more]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = _loaded(sent.value)
         for batch in batches:
-            for part in tokens.slices(batch, "text_"):
+            for part in tokens.slices(batch, "text_", SLICE):
                 first, *columns = own.encode(part.column("text_"))
                 offsets = pa.array(first.astype(np.int32))
                 lists = [pa.ListArray.from_arrays(offsets, pa.array(c.astype(np.int32))) for c in columns]
+                if decoded:
+                    lists.append(own.decoded(first, columns[0]))
                 rows = [part.column(c) for c in kept]
-                yield pa.record_batch([*rows, *lists], names=[*kept, "ids", "starts", "ends"])
+                yield pa.record_batch([*rows, *lists], names=[*kept, *added])
 
     texts = documents.select(*kept, F.col("text").cast("string").alias("text_"))
-    return texts.mapInArrow(run, schema)
+    return texts.mapInArrow(run, T.StructType(fields))
 
 
 def decode(encoded: DataFrame, model: str) -> DataFrame:
@@ -209,19 +223,23 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = _loaded(sent.value)
         for batch in batches:
-            lists = batch.column("ids")
-            texts = (own.whole.decode(row.as_py() or []) for row in lists)
-            columns = [*[batch.column(c) for c in kept], pa.array(texts, pa.string())]
-            yield pa.record_batch(columns, names=[*kept, "decoded"])
+            for i in range(0, batch.num_rows, 256):
+                part = batch.slice(i, 256)
+                lists = part.column("ids")
+                first = np.concatenate([[0], np.cumsum(lists.value_lengths().fill_null(0).to_numpy())])
+                texts = own.decoded(first, lists.flatten().to_numpy())
+                columns = [*[part.column(c) for c in kept], texts]
+                yield pa.record_batch(columns, names=[*kept, "decoded"])
 
     return encoded.select(*kept).mapInArrow(run, schema)
 
 
 def report(documents: DataFrame, model: str) -> DataFrame:
     rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    encoded = encode(rows, model).withColumn("n_tokens", F.size("ids").cast("bigint"))
     joined = F.array_join(F.col("ids").cast("array<string>"), ",")
-    digests = encoded.withColumn("ids_sha256", F.sha2(joined.cast("binary"), 256))
-    decoded = decode(digests.select("doc_id", "n_tokens", "ids_sha256", "ids"), model)
-    text = F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256")
-    return decoded.select("doc_id", "n_tokens", "ids_sha256", text)
+    return encode(rows, model, decoded=True).select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(joined.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
