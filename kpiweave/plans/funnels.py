@@ -11,6 +11,7 @@ from kpiweave import fixed_values as V
 from kpiweave.functions import count_where, micros_between, pct, seconds_between
 from kpiweave.operators.funnel import first_times, step_rows
 from kpiweave.operators.percentile import exact_percentiles
+from kpiweave.operators.sketches import approx_percentiles
 
 STEP_TIMES = {
     "signup_started_at": "auth_signup_started",
@@ -130,17 +131,23 @@ def _step_gaps(int_funnel: DataFrame) -> DataFrame:
     return int_funnel.select(F.inline(gaps)).where(F.col("micros").isNotNull())
 
 
-def time_to_convert(int_funnel: DataFrame) -> DataFrame:
-    """Exact quartiles, in minutes, of the time between funnel steps."""
-    quartiles = exact_percentiles(
-        _step_gaps(int_funnel),
-        ["transition"],
-        "micros",
-        {"p25": 0.25, "p50": 0.5, "p75": 0.75},
+def step_minutes(int_funnel: DataFrame) -> DataFrame:
+    """transition, minutes: each time between funnel steps, in the unit of ``time_to_convert``."""
+    minutes = (F.col("micros").cast("double") / MINUTE).alias("minutes")
+    return _step_gaps(int_funnel).select("transition", minutes)
+
+
+def time_to_convert(int_funnel: DataFrame, rank_error: float | None = None) -> DataFrame:
+    """Quartiles, in minutes, of the time between funnel steps: exact, or from sketches with
+    ranks that may be off by ``rank_error``."""
+    gaps, keys = _step_gaps(int_funnel), ["transition"]
+    wanted = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+    if rank_error is None:
         # A second holds at most a million microseconds, and a month as many seconds or so: a
         # task's share is bounded on both levels, whatever the resolution of the times.
-        bucket_width=1_000_000,
-    )
+        quartiles = exact_percentiles(gaps, keys, "micros", wanted, bucket_width=1_000_000)
+    else:
+        quartiles = approx_percentiles(gaps, keys, "micros", wanted, rank_error)
     minutes = [(F.col(p) / MINUTE).alias(p) for p in ("p25", "p50", "p75")]
     return quartiles.select("transition", "n", *minutes)
 

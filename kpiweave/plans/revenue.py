@@ -19,6 +19,7 @@ from kpiweave.functions import (
 from kpiweave.operators.distinct import conditional_distinct
 from kpiweave.operators.percentile import exact_percentiles
 from kpiweave.operators.series import share_of
+from kpiweave.operators.sketches import approx_percentiles
 from kpiweave.plans.staging import NTZ
 
 
@@ -104,9 +105,10 @@ def revenue_of(months: DataFrame, counts: DataFrame) -> DataFrame:
     return _revenue(base, medians)
 
 
-def mart_revenue(stg_transactions: DataFrame) -> DataFrame:
+def mart_revenue(stg_transactions: DataFrame, rank_error: float | None = None) -> DataFrame:
     """Month x type. Users are counted over one row per (month, type, user); the median
-    comes from value counts, so no task holds the amounts of a whole month."""
+    comes from value counts, so no task holds the amounts of a whole month. With ``rank_error``
+    it comes from a sketch, and its rank may be off by that share."""
     done = _is("completed")
     amount, fee = F.col("amount"), F.col("fee")
     base = conditional_distinct(
@@ -122,10 +124,10 @@ def mart_revenue(stg_transactions: DataFrame) -> DataFrame:
             "fee_revenue": ("sum", sum_where(fee, done)),
         },
     )
-    medians = exact_percentiles(
-        stg_transactions.where(done), REVENUE_KEYS, "amount", {"median_amount": 0.5}
-    )
-    return _revenue(base, medians)
+    wanted = (stg_transactions.where(done), REVENUE_KEYS, "amount", {"median_amount": 0.5})
+    if rank_error is None:
+        return _revenue(base, exact_percentiles(*wanted))
+    return _revenue(base, approx_percentiles(*wanted, rank_error))
 
 
 def _revenue(base: DataFrame, medians: DataFrame) -> DataFrame:

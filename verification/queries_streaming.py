@@ -3,14 +3,19 @@ stores its result below the shared folder of the session, and returns what was s
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from kpiweave.functions import micros_between
+from kpiweave.operators import sketches
 from kpiweave.operators.distinct import daily_distinct
-from kpiweave.plans import anomaly
+from kpiweave.plans import activity, anomaly
 from kpiweave.sources import writers
-from kpiweave.streaming import incremental, sinks, transforms
+from kpiweave.streaming import first_logins, incremental, sinks, transforms
 from verification import fixture
-from verification.queries_models import Tables, on_tables
+from verification.queries_models import AS_OF_DATE, RANK_ERROR, TOLERANCE, Tables, on_tables
 from verification.queries_quality import listed
 
 
@@ -56,6 +61,26 @@ def active_senders(t: Tables) -> DataFrame:
     return rolling.withColumnRenamed("day", "date")
 
 
+def sketched_senders(t: Tables) -> DataFrame:
+    """Each date with the exact count, and whether the sketches come within two percent."""
+    days = current(t, transforms.sender_sketches(event_stream(t)), "w4-sketch", ["day"])
+    about = transforms.sliding_senders(days).withColumnRenamed("was_7d", "about")
+    near = F.abs(F.col("about") - F.col("was_7d")) <= F.col("was_7d") * 0.02
+    exact = activity.weekly_active_senders(t.stg_events)
+    return exact.join(about, "date").select("date", "was_7d", near.alias("near"))
+
+
+def sketched_timeliness(t: Tables) -> DataFrame:
+    stream = transforms.timeliness(event_stream(t), rank_error=RANK_ERROR)
+    found = current(t, stream, "w5-sketch", ["window_start"])
+    start = F.date_trunc("day", "event_timestamp").cast("timestamp_ntz").alias("window_start")
+    micros = micros_between(F.col("event_timestamp"), F.col("received_at"))
+    delays = t.events.select(start, (micros / 1e6).alias("delay"))
+    ranked = sketches.ranks(delays, ["window_start"], "delay", found, "p95_s")
+    near = sketches.within(ranked, ["window_start"], 0.95, TOLERANCE, "p95_near")
+    return found.drop("p95_s").join(near, "window_start")
+
+
 def punctual(t: Tables) -> DataFrame:
     return current(t, transforms.timeliness(event_stream(t)), "w5", ["window_start"])
 
@@ -73,6 +98,33 @@ def alerted(t: Tables) -> DataFrame:
     return current(t, signals, "w6", ["window_start", "rule"], judge)
 
 
+def first_logins_fed(t: Tables) -> DataFrame:
+    """New and returning users after batches that each hold rows of all days."""
+    root = writers.scratch_path(t.spark, "q1")
+    counts = first_logins.daily_changes(t.spark, f"{root}/counts")
+    first_logins.feed(mixed_arrivals(t, root), counts, f"{root}/checkpoint", once=True)
+    return first_logins.current(counts)
+
+
+def mixed_arrivals(t: Tables, root: str, batches: int = 3) -> DataFrame:
+    """The events as a stream of batches that each hold rows of all days, so that most rows come
+    after later ones."""
+    part = F.pmod(F.xxhash64("event_id"), F.lit(2 * batches))
+    t.events.repartition(2 * batches, part).write.parquet(f"{root}/mixed")
+    return sinks.read_stream(t.spark, f"{root}/mixed", files_per_trigger=2)
+
+
+def late_daily_kpi(t: Tables) -> DataFrame:
+    """The daily marts when every batch brings rows of all days, compacted on the way."""
+    lake = fed_lake(t, with_events=False)
+    root = writers.scratch_path(t.spark, "w7-late")
+    events = mixed_arrivals(t, root, 2)
+    incremental.feed_events(lake, events, None, f"{root}/checkpoint", once=True)
+    lake.compact(dt.date(9999, 1, 1))
+    days = lake.logins.days() or [AS_OF_DATE]
+    return incremental.daily_kpi_between(lake, days[0], days[-1])
+
+
 def fed_lake(t: Tables, with_events: bool) -> incremental.Lake:
     """A lake after its feeds have arrived in several batches, transactions first."""
     root = writers.scratch_path(t.spark, "w7")
@@ -103,10 +155,14 @@ _STREAMS = {
     "w2_stream_dedup": deduplicated,
     "w3_stream_event_counts": counted,
     "w4_stream_active_senders": active_senders,
+    "w4_stream_sender_sketches": sketched_senders,
     "w5_timeliness": punctual,
+    "w5_timeliness_sketch": sketched_timeliness,
     "w6_stream_alerts": alerted,
     "w7_incremental_daily_kpi": refreshed_daily_kpi,
+    "w7_late_daily_kpi": late_daily_kpi,
     "w7_incremental_revenue": refreshed_revenue,
+    "q1_stream_new_returning": first_logins_fed,
 }
 
 STREAM_QUERIES = {key: on_tables(fn) for key, fn in _STREAMS.items()}
