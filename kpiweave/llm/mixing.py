@@ -12,7 +12,8 @@ last row is cut at the token.
 
 Defined results: null level values are nodes of their own, written ``(none)``; texts without
 words are never selected; nodes without a weight weigh 1; negative weights are refused; equal
-rows stand next to each other in an epoch; input columns named like the added ones are replaced.
+rows stand next to each other in an epoch; input columns named like the added ones are replaced,
+all others come out as they went in, whatever their names.
 """
 
 from __future__ import annotations
@@ -104,7 +105,7 @@ def leaf_budgets(
 
 def _ends(rows: DataFrame, leaf: list[str], step: str, need: str) -> DataFrame:
     """Per leaf, the hash range in which its prefix ends and what is still needed there."""
-    sums = rows.groupBy(*leaf, step, need).agg(F.sum("n_tokens").alias("t"))
+    sums = rows.groupBy(*leaf, step, need).agg(F.sum("n").alias("t"))
     before = Window.partitionBy(*leaf).orderBy(step).rowsBetween(Window.unboundedPreceding, -1)
     reached = sums.withColumn("before", F.coalesce(F.sum("t").over(before), F.lit(0)))
     inside = (F.col("before") < F.col(need)) & (F.col(need) <= F.col("before") + F.col("t"))
@@ -118,49 +119,68 @@ def mix(
     """The selected ``documents`` with domain, n_tokens, full_epochs and prefix_tokens (tokens
     taken from the last, partial epoch). ``share`` of all tokens is the budget."""
     own = domain if domain is not None else F.lit("all")
-    made = {"domain", "n_tokens", "full_epochs", "prefix_tokens"}
-    rows = documents.drop(*made).withColumns(
-        {
-            "domain": F.coalesce(own.cast("string"), F.lit(NONE)),
-            "_lang": F.coalesce(F.col("lang").cast("string"), F.lit(NONE)),
-            "_source": F.coalesce(F.col("source").cast("string"), F.lit(NONE)),
-            "n_tokens": token_count(),
-            "_key": text_key(),
-        }
+    made = ("domain", "n_tokens", "full_epochs", "prefix_tokens")
+    kept = [c for c in documents.columns if c not in made]
+
+    def level(value: Column) -> Column:
+        return F.coalesce(value.cast("string"), F.lit(NONE))
+
+    # The caller's columns get names of their own, so that none can clash with those used here.
+    leaf = ["l0", "l1", "l2"]
+    rows = documents.select(
+        *[F.col(f"`{c}`").alias(f"u{i}") for i, c in enumerate(kept)],
+        *[level(v).alias(n) for v, n in zip((own, F.col("lang"), F.col("source")), leaf)],
+        F.col("doc_id").alias("id"),
+        F.col("text").alias("body"),
+        text_key().alias("key"),
     )
-    leaf = ["domain", "_lang", "_source"]
-    sums = rows.groupBy(*leaf).agg(F.sum("n_tokens").alias("tokens"))
-    leaves = stored(sums.where("tokens > 0"), "leaves")
+    # All that decides about the rows, from one reading of the texts.
+    # A filter on the count would count twice; a word's first letter tells as much.
+    rows = rows.where(F.col("body").rlike("[^\\x20\\x09-\\x0D]"))
+    tokens = rows.select(*leaf, "id", "key", token_count("body").alias("n"))
+    narrow = stored(tokens, "token-counts")
+    leaves = stored(narrow.groupBy(*leaf).agg(F.sum("n").alias("tokens")), "leaves")
     whole = leaves.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
     quotas = leaf_budgets(leaves, weights, whole * share, max_epochs, leaf)
-    epochs = F.floor(F.col("quota") / F.col("tokens")).cast("int").alias("full_epochs")
+    epochs = F.floor(F.col("quota") / F.col("tokens")).cast("int").alias("epochs")
     plan = quotas.select(*leaf, epochs, (F.col("quota") % F.col("tokens")).alias("need"))
     plan = stored(plan, "quotas")
 
-    place = F.xxhash64(F.lit(seed), "full_epochs", "doc_id", "_key")
-    high = F.shiftrightunsigned(place, 64 - BITS)
-    low = F.shiftrightunsigned(place, 64 - 2 * BITS).bitwiseAND((1 << BITS) - 1)
-    placed = rows.where("n_tokens > 0").join(plan, leaf)
-    placed = placed.withColumns({"_place": place, "_a": high, "_b": low})
-    first = stored(_ends(placed, leaf, "_a", "need"), "first-range")
-    in_first = placed.join(first, leaf).where("_a = _a_end")
-    second = stored(_ends(in_first, leaf, "_b", "need_next"), "second-range")
-    ends = plan.join(first, leaf, "left").join(second, leaf, "left")
-    ends = stored(ends.drop("full_epochs", "need"), "ends")
-
-    bounded = placed.join(ends, leaf)
-    sure = (F.col("_a") < F.col("_a_end")) | ((F.col("_a") == F.col("_a_end")) & (F.col("_b") < F.col("_b_end")))
-    edge = (F.col("_a") == F.col("_a_end")) & (F.col("_b") == F.col("_b_end"))
-    edge = F.coalesce(edge, F.lit(False))
-    taken = F.when(F.coalesce(sure, F.lit(False)), F.col("n_tokens")).otherwise(F.lit(0))
-    order = Window.partitionBy(*leaf).orderBy("_place", "doc_id", "_key")
-    before = F.coalesce(F.sum("n_tokens").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    most = F.greatest(F.col("need_next_next") - before, F.lit(0))
-    plain = bounded.where(~edge).withColumn("prefix_tokens", taken.cast("bigint"))
-    cut = bounded.where(edge).withColumn("prefix_tokens", F.least("n_tokens", most).cast("bigint"))
-    kept = [c for c in documents.columns if c not in made]
-    chosen = plain.unionByName(cut).where("full_epochs > 0 OR prefix_tokens > 0")
-    return chosen.select(*kept, "domain", "n_tokens", "full_epochs", "prefix_tokens")
+    place = F.xxhash64(F.lit(seed), "epochs", "id", "key")
+    high = F.shiftrightunsigned("place", 64 - BITS)
+    low = F.shiftrightunsigned("place", 64 - 2 * BITS).bitwiseAND((1 << BITS) - 1)
+
+    def placed(df: DataFrame, ends: DataFrame) -> DataFrame:
+        found = df.join(ends, leaf).withColumn("place", place)
+        return found.withColumns({"a": high, "b": low})
+
+    spread = placed(narrow, plan)
+    first = stored(_ends(spread, leaf, "a", "need"), "first-range")
+    in_first = spread.join(first, leaf).where("a = a_end")
+    second = stored(_ends(in_first, leaf, "b", "need_next"), "second-range")
+    ends = stored(plan.join(first, leaf, "left").join(second, leaf, "left").drop("need"), "ends")
+
+    bounded = placed(rows, ends)
+    none = F.lit(False)
+    sure = (F.col("a") < F.col("a_end")) | ((F.col("a") == F.col("a_end")) & (F.col("b") < F.col("b_end")))
+    edge = (F.col("a") == F.col("a_end")) & (F.col("b") == F.col("b_end"))
+    bounded = bounded.withColumns({"sure": F.coalesce(sure, none), "edge": F.coalesce(edge, none)})
+    counted = token_count("body")
+    # Words are counted again for the rows that are chosen, and for the few at an edge.
+    plain = bounded.where("NOT edge AND (epochs > 0 OR sure)").withColumn("n", counted)
+    taken = F.when(F.col("sure"), F.col("n")).otherwise(F.lit(0))
+    plain = plain.withColumn("taken", taken.cast("bigint"))
+    order = Window.partitionBy(*leaf).orderBy("place", "id", "key")
+    upto = F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    most = F.greatest(F.col("need_next_next") - F.coalesce(upto, F.lit(0)), F.lit(0))
+    cut = bounded.where("edge").withColumn("n", counted)
+    cut = cut.withColumn("taken", F.least("n", most).cast("bigint"))
+    chosen = plain.unionByName(cut.where("epochs > 0 OR taken > 0"))
+    names = zip(("l0", "n", "epochs", "taken"), made)
+    return chosen.select(
+        *[F.col(f"u{i}").alias(c) for i, c in enumerate(kept)],
+        *[F.col(a).alias(b) for a, b in names],
+    )
 
 
 #: The tree of the registered queries: sources fall into four domains.

@@ -94,6 +94,55 @@ def test_prefixes_fill_the_quotas_exactly(spark):
     assert set(docs.columns) - {"n_tokens"} <= set(M.mix(docs, {}, 0.5).columns)
 
 
+CLASHES = ["_key", "_a", "_place", "need", "quota", "id", "key", "n", "l0", "u0", "place", "a b.c"]
+
+
+def test_columns_of_any_name_come_out_as_they_went_in(spark):
+    schema = "doc_id bigint, text string, lang string, source string, " + ", ".join(
+        f"`{c}` string" for c in CLASHES
+    )
+    rows = [(i, "w " * (i % 9), "en", f"s{i % 3}", *[f"{c}{i}" for c in CLASHES]) for i in range(60)]
+    docs = spark.createDataFrame(rows, schema)
+    out = M.mix(docs, {}, 0.5)
+    assert out.columns == [*docs.columns, "domain", "n_tokens", "full_epochs", "prefix_tokens"]
+    given = {r[0]: r for r in rows}
+    found = out.collect()
+    assert found and all(tuple(r)[: len(given[r.doc_id])] == given[r.doc_id] for r in found)
+
+
+def filled(rows, quota, seed=17):
+    """(doc_id, text) -> full epochs and tokens of the last one, in the order of the epoch."""
+    tokens = sum(n for _, _, n, _ in rows)
+    epochs, need = divmod(quota, tokens)
+    out = []
+    for _, doc_id, n, _ in sorted((p % 2**64, *rest) for p, *rest in rows):
+        taken = max(0, min(n, need))
+        need -= taken
+        if epochs or taken:
+            out.append((doc_id, n, epochs, taken))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("share", [0.35, 1.6])
+def test_which_rows_fill_each_prefix(spark, share):
+    """Against a sort of each leaf, the last row cut at the token."""
+    rng = random.Random(2)
+    rows = [(i, " ".join("w" * rng.randrange(1, 9)), "en", f"s{i % 2}", None, 1) for i in range(300)]
+    rows += [(7, "same text", "en", "s0", None, 1)] * 5
+    docs = spark.createDataFrame(rows, DOCS)
+    leaves = [("all", "en", f"s{k}", sum(len(r[1].split()) for r in rows if r[3] == f"s{k}")) for k in range(2)]
+    table = spark.createDataFrame(leaves, "domain string, lang string, source string, tokens bigint")
+    budget = share * sum(x[3] for x in leaves)
+    quotas = {r.source: (r.quota, r.tokens) for r in M.leaf_budgets(table, {}, budget, 2).collect()}
+    got = M.mix(docs, {}, share).collect()
+    for source, (quota, tokens) in quotas.items():
+        own = docs.where(F.col("source") == source)
+        place = F.xxhash64(F.lit(17), F.lit(quota // tokens).cast("int"), "doc_id", F.xxhash64("text"))
+        placed = own.select(place, "doc_id", F.size(F.split("text", " ")), F.xxhash64("text")).collect()
+        mine = [(r.doc_id, r.n_tokens, r.full_epochs, r.prefix_tokens) for r in got if r.source == source]
+        assert sorted(mine, key=repr) == filled([tuple(r) for r in placed], quota)
+
+
 def test_empty_table_and_bad_weights(spark):
     empty = spark.createDataFrame([], DOCS)
     assert M.mix(empty, {}, 0.5).count() == 0
