@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
+from pyspark import Broadcast, SparkContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +37,31 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_held: ContextVar[list[Broadcast] | None] = ContextVar("held", default=None)
+
+
+def broadcast(context: SparkContext, value: object) -> Broadcast:
+    """``context.broadcast``, noted for a surrounding ``released``."""
+    made = context.broadcast(value)
+    held = _held.get()
+    if held is not None:
+        held.append(made)
+    return made
+
+
+@contextmanager
+def released() -> Iterator[None]:
+    """Destroys the broadcasts made inside on leaving. What needs them must be stored by then."""
+    held: list[Broadcast] = []
+    token = _held.set(held)
+    try:
+        yield
+    finally:
+        _held.reset(token)
+        for made in held:
+            made.destroy()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

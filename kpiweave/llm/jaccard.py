@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kpiweave.llm import bloom, tokens
-from kpiweave.llm.common import stored
+from kpiweave.llm.common import broadcast, stored
 from kpiweave.llm.graph import components
 
 SIZE = 5
@@ -44,14 +44,13 @@ U64 = np.uint64
 def shingle_sets(w: tokens.Words, size: int = SIZE) -> tuple[np.ndarray, np.ndarray]:
     """Text number and hash of each distinct shingle, in order of both. A text of fewer words
     is one shingle."""
-    counts, of = w.counts, w.text_of()
-    texts, hashes = [], []
-    for k in range(1, size + 1):
-        start, h = tokens.runs(w, k)
-        take = of[start]
-        whole = slice(None) if k == size else counts[take] == k
-        texts.append(take[whole])
-        hashes.append(h[whole])
+    counts = w.counts
+    start, h = tokens.runs(w, size)
+    texts, hashes = [w.text_of()[start]], [h]
+    for k in range(1, size):
+        short = np.flatnonzero(counts == k)
+        texts.append(short)
+        hashes.append(tokens.runs_at(w, w.first[short], k))
     text, h = np.concatenate(texts), np.concatenate(hashes)
     order = np.lexsort((h, text))
     text, h = text[order], h[order]
@@ -230,7 +229,7 @@ class Join:
         cells = made.where("cell IS NOT NULL").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
         weights = np.zeros(1 << CELL_BITS, np.int64)
         weights[cells["cell"].to_numpy()] = cells["n"].to_numpy()
-        self.order = context.broadcast(Order(weights, fragments))
+        self.order = broadcast(context, Order(weights, fragments))
         used = self.docs.where("n > 0 AND doc_id IS NOT NULL")
         grouped = used.groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep"))
         numbered = grouped.withColumn("sid", F.monotonically_increasing_id())
@@ -249,7 +248,7 @@ class Join:
         every = own.select("sid", F.explode("prefix").alias("h")).groupBy("h")
         spread = every.agg(F.min("sid").alias("low"), F.max("sid").alias("high"))
         shared = stored(spread.where("low < high").select("h"), "shared-shingles")
-        wanted = own.sparkSession.sparkContext.broadcast(bloom.build(shared, "h"))
+        wanted = broadcast(own.sparkSession.sparkContext, bloom.build(shared, "h"))
         flat = stored(
             own.mapInArrow(_wanted_rows(wanted), "sid bigint, n bigint, pos int, h bigint"),
             "shared-prefixes",
@@ -308,7 +307,7 @@ class Join:
         """a, b of the ``pairs`` that link: overlaps per fragment, summed."""
         named = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
         involved = stored(named.join(self.classes, "sid"), "involved")
-        wanted = self.texts.sparkSession.sparkContext.broadcast(bloom.build(involved, "rep"))
+        wanted = broadcast(self.texts.sparkSession.sparkContext, bloom.build(involved, "rep"))
         segments = self.texts.where("doc_id IS NOT NULL").mapInArrow(
             _segment_rows(self.order, wanted),
             "rep bigint, n bigint, d1 bigint, d2 bigint, f int, segment binary",

@@ -167,6 +167,14 @@ def runs(w: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     return start, mix(total[start] + U64(size))
 
 
+def runs_at(w: Words, start: np.ndarray, size: int) -> np.ndarray:
+    """The hash that ``runs`` gives to the runs of ``size`` words from each of ``start`` on."""
+    total = np.zeros(len(start), dtype=np.uint64)
+    for k in range(size):
+        total += w.hashes[start + k] * _PLACE[k]
+    return mix(total + U64(size))
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The batch in parts of about ``limit`` bytes of text, so that a part's arrays stay small.
     A longer text is a part of its own."""

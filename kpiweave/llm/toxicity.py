@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpiweave.llm.common import id_remainder, stored
+from kpiweave.llm.common import broadcast, id_remainder, stored
 
 TRAIN_ROWS = 20_000
 FOLDS = 5  # one in so many ids is held out
@@ -41,6 +41,7 @@ SUPPORT = 5  # documents that must hold a word before it has a score of its own
 PRIOR = 0.125  # weight of the prior, as a share of the training documents
 CONFIDENCE = 1.64
 DRIFT = 0.5
+KNOWN = 100_000  # words whose scores a worker remembers
 STEMS = (7, 6, 5, 4, 3)
 _WORD = re.compile(r"[^\W\d_]+")
 FOUND = (
@@ -149,7 +150,7 @@ class _Scorer:
             if score is None:
                 stems = (self.scores.get(word[:n] + "*") for n in STEMS if n <= len(word))
                 score = next((s for s in stems if s is not None), -DRIFT)
-            if len(self.known) > 500_000:
+            if len(self.known) > KNOWN:
                 self.known.clear()
             self.known[word] = score
         return score
@@ -238,7 +239,7 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Mo
         return scores, _scale(scores, counts, int(tokens[clean].sum()))
 
     whole, scale = fit((0, 1))
-    parts = spark.sparkContext.broadcast([fit((1,)), fit((0,))])  # of the other half
+    parts = broadcast(spark.sparkContext, [fit((1,)), fit((0,))])  # of the other half
 
     def cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judges = [(_Scorer(scores), lam) for scores, lam in parts.value]
@@ -275,7 +276,7 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Mo
 def find(documents: DataFrame, model: Model) -> DataFrame:
     """The columns of ``documents`` and those of ``FOUND``: every significant passage, by the
     numbers of its first and last word, with score and expectation."""
-    sent = documents.sparkSession.sparkContext.broadcast(model)
+    sent = broadcast(documents.sparkSession.sparkContext, model)
     kinds = [
         pa.int64(),
         pa.float64(),
