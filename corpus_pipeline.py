@@ -6,6 +6,8 @@
 4. secrets: secrets are masked in the text; no document goes.
 5. mixing: tokens per domain, language and source are brought to the target weights.
 
+Each stage's broadcasts are destroyed when its result is stored.
+
 SQL cannot express the first, fourth and fifth stage; the stages are tested against brute force.
 """
 
@@ -14,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from kpiweave.llm import decontaminate, jaccard, mixing, secrets, toxicity
-from kpiweave.llm.common import stored, table
+from kpiweave.llm.common import released, stored, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,5 +52,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        with released():
+            docs = stored(stage(spark, docs, sf_dir), name)
     return docs
