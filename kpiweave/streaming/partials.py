@@ -60,7 +60,7 @@ class Partials:
 
     def days(self) -> list[dt.date]:
         """The days that have parts, by one look at the root."""
-        names = [name for name in _children(self.spark, self.path) if name.startswith("day=")]
+        names = [name for name in children(self.spark, self.path) if name.startswith("day=")]
         return sorted(dt.date.fromisoformat(name[4:]) for name in names)
 
     def _parts(self, days: Iterable[dt.date]) -> DataFrame:
@@ -84,7 +84,7 @@ class Partials:
         )
 
     def _log(self) -> DataFrame | None:
-        if not _children(self.spark, self._log_path):
+        if not children(self.spark, self._log_path):
             return None
         return self.spark.read.schema(_LOG).parquet(self._log_path)
 
@@ -124,7 +124,7 @@ class Partials:
         for row in log.select(*PARTS).distinct().toLocalIterator():
             if row.day in there:
                 part = f"{self.path}/day={row.day.isoformat()}/run={row.run}/batch={row.batch}"
-                gone += _delete(self.spark, part)
+                gone += delete(self.spark, part)
         return gone
 
 
@@ -133,13 +133,13 @@ def _file_system(spark: SparkSession, path: str):
     return where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), where
 
 
-def _children(spark: SparkSession, path: str) -> list[str]:
+def children(spark: SparkSession, path: str) -> list[str]:
     system, where = _file_system(spark, path)
     if not system.exists(where):
         return []
     return [status.getPath().getName() for status in system.listStatus(where)]
 
 
-def _delete(spark: SparkSession, path: str) -> bool:
+def delete(spark: SparkSession, path: str) -> bool:
     system, where = _file_system(spark, path)
     return bool(system.delete(where, True))

@@ -12,8 +12,16 @@ from kpiweave.functions import micros_between
 from kpiweave.operators import sketches
 from kpiweave.operators.distinct import daily_distinct
 from kpiweave.plans import activity, anomaly
+from kpiweave.quality import ingest
 from kpiweave.sources import writers
-from kpiweave.streaming import first_logins, incremental, sinks, transforms
+from kpiweave.streaming import (
+    first_logins,
+    id_index,
+    incremental,
+    past_baseline,
+    sinks,
+    transforms,
+)
 from verification import fixture
 from verification.queries_models import AS_OF_DATE, RANK_ERROR, TOLERANCE, Tables, on_tables
 from verification.queries_quality import listed
@@ -50,6 +58,50 @@ def deduplicated(t: Tables) -> DataFrame:
     return appended(t, transforms.dedup(event_stream(t)), "w2").drop("received_at")
 
 
+def deduplicated_at_any_delay(t: Tables) -> DataFrame:
+    root = writers.scratch_path(t.spark, "w2-index")
+    index = id_index.IdIndex(t.spark, f"{root}/index", buckets=8)
+    events = mixed_arrivals(t, root)
+    id_index.feed(events, index, f"{root}/checkpoint", once=True)
+    return id_index.first_rows(index).drop("received_at")
+
+
+def alerted_by_the_past(t: Tables) -> DataFrame:
+    """Closed windows of the transactions, judged by the windows before them."""
+    root = writers.scratch_path(t.spark, "w6-past")
+    signals = transforms.transaction_signals(transaction_stream(t))
+    sinks.append_files(signals, f"{root}/windows", f"{root}/closing", once=True)
+    windows = t.spark.readStream.schema(signals.schema).parquet(f"{root}/windows")
+    past_baseline.feed(windows, f"{root}/judged", f"{root}/judging", once=True)
+    judged = t.spark.read.parquet(f"{root}/judged")
+    return judged.select("window_start", "rule", "value", "alert")
+
+
+def measured_events(t: Tables) -> DataFrame:
+    """The NULL shares of the events, from the pass that writes them."""
+    root = writers.scratch_path(t.spark, "d39")
+    wanted = ingest.event_measures(t.events)
+    found = ingest.measured_write(t.events, wanted, lambda df: df.write.parquet(f"{root}/events"))
+    return ingest.null_rates(ingest.long(t.spark, found))
+
+
+def measured_streams(t: Tables) -> DataFrame:
+    """The row rules of both tables, from the passes that store their batches."""
+    root = writers.scratch_path(t.spark, "d40")
+    events = mixed_arrivals(t, root)
+    parts = None
+    for name, stream, wanted in (
+        ("events", events, ingest.event_measures(events)),
+        ("transactions", transaction_stream(t), ingest.transaction_measures(t.transactions)),
+    ):
+        counts = ingest.log(t.spark, f"{root}/{name}-counts")
+        where = (f"{root}/{name}-rows", counts, AS_OF_DATE, f"{root}/{name}-checkpoint")
+        ingest.feed(stream, wanted, *where, once=True)
+        checks = ingest.row_checks(ingest.totals(counts))
+        parts = checks if parts is None else parts.unionByName(checks)
+    return parts
+
+
 def counted(t: Tables) -> DataFrame:
     counts = transforms.event_counts(event_stream(t))
     return current(t, counts, "w3", ["window_start", "event_name"])
@@ -153,16 +205,20 @@ def refreshed_revenue(t: Tables) -> DataFrame:
 _STREAMS = {
     "w1_stream_validate": validated,
     "w2_stream_dedup": deduplicated,
+    "w2_stream_dedup_any_delay": deduplicated_at_any_delay,
     "w3_stream_event_counts": counted,
     "w4_stream_active_senders": active_senders,
     "w4_stream_sender_sketches": sketched_senders,
     "w5_timeliness": punctual,
     "w5_timeliness_sketch": sketched_timeliness,
     "w6_stream_alerts": alerted,
+    "w6_stream_alerts_past_only": alerted_by_the_past,
     "w7_incremental_daily_kpi": refreshed_daily_kpi,
     "w7_late_daily_kpi": late_daily_kpi,
     "w7_incremental_revenue": refreshed_revenue,
     "q1_stream_new_returning": first_logins_fed,
+    "d39_ingest_null_rate": measured_events,
+    "d40_ingest_row_rules": measured_streams,
 }
 
 STREAM_QUERIES = {key: on_tables(fn) for key, fn in _STREAMS.items()}
