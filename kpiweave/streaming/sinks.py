@@ -72,12 +72,19 @@ _MARKS = ("run", "batch", "stored_at")
 
 
 def latest(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
-    """The current row per key of a ``changelog``: the one stored last."""
+    """The current row per key of a ``changelog``: the one stored last. Batches of one query
+    follow each other by number, whatever the clock says; queries by the time of storing."""
     log = spark.read.parquet(path)
     values = [c for c in log.columns if c not in (*keys, *_MARKS)]
-    order = [c for c in ("stored_at", "batch", "run") if c in log.columns]
-    newest = F.max_by(F.struct(*values), F.struct(*order)).alias("row")
-    return log.groupBy(*keys).agg(newest).select(*keys, "row.*")
+    there = [c for c in ("stored_at", "run") if c in log.columns]
+    of_run = [c for c in there if c == "run"]
+    stamped = F.struct(*[c for c in there if c != "run"], *values)
+    last = log.groupBy(*keys, *of_run).agg(F.max_by(stamped, "batch").alias("last"))
+    if not there:
+        return last.select(*keys, *[f"last.{c}" for c in values])
+    order = F.struct(*[F.col(f"last.{c}") if c != "run" else F.col(c) for c in there])
+    newest = last.groupBy(*keys).agg(F.max_by("last", order).alias("row"))
+    return newest.select(*keys, *[f"row.{c}" for c in values])
 
 
 def compact(spark: SparkSession, path: str, keys: Sequence[str], target: str) -> None:

@@ -318,6 +318,10 @@ CTES.update(
       COUNT(DISTINCT user_id) FILTER (platform = 'web') AS dau_web
     FROM (SELECT *, MIN(login_date) OVER (PARTITION BY user_id) AS first_day FROM utc_logins
           WHERE NOT starts_with(user_id, 'usr_test')) GROUP BY login_date""",
+        "segment_logins": """SELECT DISTINCT event_date_kst AS date, s.segment, COALESCE(s.value, 'unknown') AS value, user_id
+      FROM stg_events, unnest([{'segment': 'platform', 'value': platform},
+        {'segment': 'app_version', 'value': app_version}]) AS u(s)
+      WHERE event_name = 'auth_login_completed'""",
         "active_senders": """SELECT s.day AS date, COUNT(DISTINCT d.user_id) AS was_7d
         FROM (SELECT DISTINCT day FROM sender_days) s
         JOIN sender_days d ON d.day BETWEEN s.day - 6 AND s.day GROUP BY s.day""",
@@ -421,6 +425,17 @@ MODELS: dict[str, str] = {
     )
     + " FROM int_cohort c JOIN stg_users u USING (user_id) GROUP BY 1, 2)",
     "m4_mart_revenue": "SELECT * FROM revenue_mart",
+    "m1c_rolling_users_by_segment": """SELECT a.date, a.segment, a.value,
+      COUNT(DISTINCT b.user_id) FILTER (b.date > a.date - 7) AS users_7d,
+      COUNT(DISTINCT b.user_id) AS users_30d
+    FROM (SELECT DISTINCT date, segment, value FROM segment_logins) a JOIN segment_logins b
+      ON a.segment = b.segment AND a.value = b.value AND b.date BETWEEN a.date - 29 AND a.date
+    GROUP BY ALL""",
+    "p1_range_join_errors_near_failures": f"""SELECT transaction_id, COUNT(*) AS errors
+    FROM raw_transactions JOIN raw_events ON event_timestamp
+      BETWEEN created_at - INTERVAL 1 HOUR AND created_at + INTERVAL 1 HOUR
+    WHERE status = 'failed' AND event_name IN ({", ".join(f"'{n}'" for n in V.ERROR_EVENTS)})
+    GROUP BY transaction_id""",
     "m4_mart_revenue_sketch": """SELECT * EXCLUDE (median_amount),
       CASE WHEN completed_count > 0 THEN TRUE END AS median_near FROM revenue_mart""",
     "q1_dau_new_returning": "SELECT * FROM new_returning",

@@ -10,9 +10,11 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiweave.operators import sketches
+from kpiweave import fixed_values as V
+from kpiweave.functions import epoch_micros
+from kpiweave.operators import bitmaps, ranges, sketches
 from kpiweave.plans import activity, anomaly, cohorts, funnels, kpi, revenue, staging
-from kpiweave.sources.writers import SHARED_DIR
+from kpiweave.sources.writers import SHARED_DIR, scratch_path
 from verification import fixture
 
 AS_OF_DATE = dt.date(2024, 2, 28)
@@ -102,6 +104,35 @@ def on_tables(fn: Callable[[Tables], DataFrame]) -> Callable[[SparkSession, str]
     return run
 
 
+def rolling_by_segment(t: Tables) -> DataFrame:
+    """Users of the trailing 7 and 30 days by platform and app version, from stored bitmaps."""
+    root = scratch_path(t.spark, "bitmaps")
+    login = t.stg_events.where(F.col("event_name") == V.LOGIN)
+    pairs = [
+        F.struct(F.lit(s).alias("segment"), F.coalesce(s, F.lit("unknown")).alias("value"))
+        for s in ("platform", "app_version")
+    ]
+    long = login.select("user_id", F.col("event_date_kst").alias("date"), F.inline(F.array(*pairs)))
+    numbers = bitmaps.dense_numbers(login, "user_id", f"{root}/users")
+    by = ["segment", "value"]
+    days = bitmaps.day_bitmaps(long, numbers, "user_id", "date", by)
+    days.write.parquet(f"{root}/days")
+    stored = t.spark.read.parquet(f"{root}/days")
+    return bitmaps.trailing_users(stored, "date", {"users_7d": 7, "users_30d": 30}, by)
+
+
+def errors_near_failures(t: Tables) -> DataFrame:
+    """Per failed transaction: error events within an hour before or after, of any user."""
+    hour = 3600 * 1_000_000
+    at = epoch_micros(F.col("created_at"))
+    failed = t.transactions.where("status = 'failed'")
+    spans = failed.select("transaction_id", (at - hour).alias("low"), (at + hour).alias("high"))
+    errors = t.events.where(F.col("event_name").isin(*V.ERROR_EVENTS))
+    points = errors.select("event_id", epoch_micros(F.col("event_timestamp")).alias("at"))
+    near = ranges.range_join(points, spans, "at", "low", "high")
+    return near.groupBy("transaction_id").agg(F.count("*").alias("errors"))
+
+
 #: Sketches are asked for ranks this exact, and must keep within the tolerance in every group.
 RANK_ERROR, TOLERANCE = 0.005, 0.02
 
@@ -138,6 +169,8 @@ _MODELS: dict[str, Callable[[Tables], DataFrame]] = {
     "m1_mart_daily_kpi": lambda t: t.daily_kpi,
     "m1a_daily_users": lambda t: activity.daily_users(t.int_dau),
     "m1b_daily_transactions": lambda t: revenue.daily_transactions(t.stg_txn),
+    "m1c_rolling_users_by_segment": rolling_by_segment,
+    "p1_range_join_errors_near_failures": errors_near_failures,
     "m1c_rolling_users": lambda t: activity.rolling_users(t.int_dau),
     "m2_mart_funnel": lambda t: rounded(t.funnel, ["avg_time_minutes"]),
     "m3_mart_retention": lambda t: t.retention,
