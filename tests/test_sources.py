@@ -123,3 +123,24 @@ def test_profiles(spark):
     ]
     (size,) = profiles.load_summary({"events": events}).collect()
     assert (size["rows"], size["columns"]) == (3, 21)
+
+
+def test_a_run_computes_each_mart_once_and_again_after_a_loss(spark, tmp_path):
+    from kpiweave.sources.mart_store import MartStore
+
+    asked = []
+
+    def build(rows):
+        def now():
+            asked.append(rows)
+            return spark.range(rows)
+
+        return now
+
+    store = MartStore(spark, str(tmp_path / "marts"), "2024-01-01")
+    assert store.get("m", build(3)).count() == 3
+    assert MartStore(spark, store.root, "2024-01-01").get("m", build(4)).count() == 3
+    assert MartStore(spark, store.root, "2024-01-02").get("m", build(5)).count() == 5
+    # Without the mark of a committed job the files are those of a lost one.
+    (tmp_path / "marts" / "run=2024-01-01" / "m" / "_SUCCESS").unlink()
+    assert store.get("m", build(6)).count() == 6 and asked == [3, 5, 6]
