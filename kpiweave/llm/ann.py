@@ -1,11 +1,13 @@
 """Approximate nearest neighbours by randomly rotated one-bit codes.
 
 A vector, less the centroid and scaled to length 1, is rotated at random; the signs of its
-coordinates, packed into bits, are its code. Two scalars go with the code: the length, and the
-inner product of the vector with its code. With a rotated query they give an unbiased estimate of
-the inner product and a bound on its error (``BOUND`` standard deviations). A vector whose lower
-bound of the distance is above the query's k-th exact distance so far is passed over; the others
-are measured exactly, in double precision.
+coordinates, packed into words, are its code. Two scalars go with the code: the length, and the
+inner product of the vector with its code. A query's rotated coordinates are rounded to ``PLANES``
+bits and kept as bit planes; the inner product of code and query is then a sum of counted bits of
+``code & plane``, never unpacked. With the scalars this gives an estimate of the inner product of
+the vectors and a bound on its error (``BOUND`` standard deviations, and all of the rounding).
+The vectors are measured exactly, in double precision, from the least lower bound of their distance
+on, until that bound is above the query's k-th distance so far; the others are passed over.
 
 Vectors are dealt once, in chunks of codes, scalars and originals; the queries, in blocks, are
 sent to every group of chunks. A task keeps k neighbours per query and returns those alone.
@@ -23,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.accumulators import AccumulatorParam
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -36,6 +39,8 @@ BLOCK = 1024  # queries
 SAMPLE = 10_000
 SEED = 11
 K = 10
+PLANES = 8
+STEP = 16  # vectors measured at a time
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -102,7 +107,40 @@ def _row(**values) -> pa.RecordBatch:
 
 
 CODES = "dim int, chunk bigint, ids binary, lengths binary, inner binary, codes binary, vectors binary"
-QUERIES = "dim int, block bigint, q_ids binary, q_lengths binary, q_turned binary, q_vectors binary"
+QUERIES = (
+    "dim int, block bigint, q_ids binary, q_lengths binary, q_low binary, q_step binary,"
+    " q_planes binary, q_vectors binary"
+)
+WORD = 64
+
+
+def packed(bits: np.ndarray) -> np.ndarray:
+    """Rows of bits as rows of 64-bit words, the last one filled up with zeros."""
+    octets = np.packbits(bits, axis=1)
+    words = -(-bits.shape[1] // WORD)
+    out = np.zeros((len(bits), words * 8), np.uint8)
+    out[:, : octets.shape[1]] = octets
+    return out.view(np.uint64)
+
+
+def planes(turned: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Least value, step and bit planes of rows rounded to ``PLANES`` bits."""
+    low = turned.min(axis=1)
+    step = (turned.max(axis=1) - low) / (2**PLANES - 1)
+    whole = np.rint((turned - low[:, None]) / np.where(step > 0, step, 1.0)[:, None]).astype(np.int64)
+    return low, step, np.stack([packed((whole >> j) & 1 == 1) for j in range(PLANES)], axis=1)
+
+
+def code_products(codes: np.ndarray, dim: int, low: float, step: float, bits: np.ndarray) -> np.ndarray:
+    """Inner products of the codes, as vectors of length 1, with one rounded query."""
+    counted = np.zeros(len(codes), np.int64)
+    total = 0
+    for j, plane in enumerate(bits):
+        counted += np.bitwise_count(codes & plane).sum(axis=1, dtype=np.int64) << j
+        total += int(np.bitwise_count(plane).sum()) << j
+    ones = np.bitwise_count(codes).sum(axis=1, dtype=np.int64)
+    positive = low * ones + step * counted  # the query's coordinates where the code has a one
+    return (2 * positive - (low * dim + step * total)) / np.sqrt(dim)
 
 
 def encode(vectors: DataFrame, centres: dict[int, np.ndarray]) -> DataFrame:
@@ -111,7 +149,7 @@ def encode(vectors: DataFrame, centres: dict[int, np.ndarray]) -> DataFrame:
     def pack(dim: int, ids: np.ndarray, v: np.ndarray) -> pa.RecordBatch:
         length, turned = _turned(v, centres)
         inner = np.abs(turned).sum(axis=1) / np.sqrt(dim)
-        codes = np.packbits(turned > 0, axis=1)
+        codes = packed(turned > 0)
         return _row(dim=dim, chunk=int(ids[0]), ids=ids, lengths=length, inner=inner, codes=codes, vectors=v)
 
     return vectors.mapInArrow(_packer(CHUNK, pack), CODES)
@@ -120,7 +158,11 @@ def encode(vectors: DataFrame, centres: dict[int, np.ndarray]) -> DataFrame:
 def encode_queries(queries: DataFrame, centres: dict[int, np.ndarray]) -> DataFrame:
     def pack(dim: int, ids: np.ndarray, v: np.ndarray) -> pa.RecordBatch:
         length, turned = _turned(v, centres)
-        return _row(dim=dim, block=int(ids[0]), q_ids=ids, q_lengths=length, q_turned=turned, q_vectors=v)
+        low, step, bits = planes(turned)
+        return _row(
+            dim=dim, block=int(ids[0]), q_ids=ids, q_lengths=length, q_low=low, q_step=step,
+            q_planes=bits, q_vectors=v,
+        )
 
     return queries.mapInArrow(_packer(BLOCK, pack), QUERIES)
 
@@ -144,7 +186,7 @@ class _Nearest:
         self.found[query] = (distance[best], ids[best])
 
 
-def _search(k: int, bound: float):
+def _search(k: int, bound: float, tally=None):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         nearest = _Nearest(k)
         for batch in batches:
@@ -155,12 +197,20 @@ def _search(k: int, bound: float):
 
                 dim = batch.column("dim")[row].as_py()
                 ids, q_ids = part("ids", np.int64), part("q_ids", np.int64)
-                bits = np.unpackbits(part("codes", np.uint8).reshape(len(ids), -1), axis=1)
-                _compare(
-                    nearest, bound, ids, part("lengths"), part("inner"), bits[:, :dim],
-                    part("vectors").reshape(-1, dim), q_ids, part("q_lengths"),
-                    part("q_turned").reshape(-1, dim), part("q_vectors").reshape(-1, dim),
+                chunk = _Chunk(
+                    dim, ids, part("lengths"), part("inner"),
+                    part("codes", np.uint64).reshape(len(ids), -1), part("vectors").reshape(-1, dim),
+                    bound,
                 )
+                q_planes = part("q_planes", np.uint64).reshape(len(q_ids), PLANES, -1)
+                q_vectors = part("q_vectors").reshape(-1, dim)
+                scalars = zip(part("q_lengths"), part("q_low"), part("q_step"))
+                measured = 0
+                for j, (query, of) in enumerate(zip(q_ids.tolist(), scalars)):
+                    low = chunk.bounds(*of, q_planes[j])
+                    measured += _rerank(nearest, query, q_vectors[j], chunk, low)
+                if tally is not None:
+                    tally.add(np.array([len(ids) * len(q_ids), measured]))
         out = [(q, i, d) for q, (ds, ids) in nearest.found.items() for d, i in zip(ds, ids)]
         columns = zip(*out) if out else [()] * 3
         kinds = [pa.int64(), pa.int64(), pa.float64()]
@@ -170,29 +220,38 @@ def _search(k: int, bound: float):
     return rows
 
 
-def _compare(nearest, bound, ids, lengths, inner, bits, vectors, q_ids, q_lengths, q_turned, q_vectors):
-    dim = vectors.shape[1]
-    signs = (bits.astype(np.float32) * 2 - 1) / np.float32(np.sqrt(dim))
-    safe = np.where(inner > 0, inner, 1.0)
-    estimate = (signs @ q_turned.T.astype(np.float32)) / safe[:, None]
-    error = np.sqrt(np.maximum(1 - safe**2, 0)) / safe * bound / np.sqrt(max(dim - 1, 1))
-    cross = 2 * lengths[:, None] * q_lengths[None, :]
-    square = lengths[:, None] ** 2 + q_lengths[None, :] ** 2
-    low = square - cross * (estimate + error[:, None]) - 1e-5 * (square + 1e-12)
-    limits = nearest.limits(q_ids.tolist())
-    for j, query in enumerate(q_ids.tolist()):
-        other = ids != query
-        limit = limits[j]
-        if np.isinf(limit):  # the first ones: those that look nearest set the limit
-            first = np.flatnonzero(other)
-            middle = (square - cross * estimate)[first, j]
-            first = first[np.argsort(middle, kind="stable")[: nearest.k]]
-            _measure(nearest, query, first, ids, vectors, q_vectors[j])
-            other[first] = False
-            limit = nearest.limits([query])[0]
-        near = np.flatnonzero(other & (low[:, j] <= limit * limit))
-        if len(near):
-            _measure(nearest, query, near, ids, vectors, q_vectors[j])
+class _Chunk:
+    """Codes, scalars and originals of some vectors."""
+
+    def __init__(self, dim, ids, lengths, inner, codes, vectors, bound):
+        self.dim, self.ids, self.lengths = dim, ids, lengths
+        self.codes, self.vectors = codes, vectors
+        self.inner = np.where(inner > 0, inner, 1.0)
+        spread = np.sqrt(np.maximum(1 - self.inner**2, 0)) / self.inner
+        self.error = spread * bound / np.sqrt(max(dim - 1, 1))
+
+    def bounds(self, length: float, low: float, step: float, bits: np.ndarray) -> np.ndarray:
+        """A lower bound of each squared distance to a query, from its bit planes."""
+        estimate = code_products(self.codes, self.dim, low, step, bits) / self.inner
+        rounding = step / 2 * np.sqrt(self.dim) / self.inner
+        square = self.lengths**2 + length**2
+        most = estimate + self.error + rounding
+        return square - 2 * self.lengths * length * most - 1e-9 * (square + 1e-12)
+
+
+def _rerank(nearest: _Nearest, query: int, vector: np.ndarray, chunk: _Chunk, low: np.ndarray) -> int:
+    """Measures the vectors of a chunk from the least bound on, while they may be among the
+    nearest; returns how many that were."""
+    limit = nearest.limits([query])[0]
+    may = np.flatnonzero((low <= limit * limit) & (chunk.ids != query))
+    may = may[np.argsort(low[may], kind="stable")]
+    done = 0
+    while done < len(may) and low[may[done]] <= limit * limit:
+        part = may[done : done + STEP]
+        _measure(nearest, query, part, chunk.ids, chunk.vectors, vector)
+        limit = nearest.limits([query])[0]
+        done += len(part)
+    return done
 
 
 def _measure(nearest, query, which, ids, vectors, vector) -> None:
@@ -201,9 +260,20 @@ def _measure(nearest, query, which, ids, vectors, vector) -> None:
         nearest.add(query, np.sqrt((apart * apart).sum(axis=1)), ids[which])
 
 
-def search(vectors: DataFrame, is_query, k: int = K, bound: float = BOUND) -> DataFrame:
+class Tally(AccumulatorParam):
+    """Numbers of pairs that were estimated and that were measured, for ``search``."""
+
+    def zero(self, value):
+        return np.zeros(2, np.int64)
+
+    def addInPlace(self, a, b):
+        return a + b
+
+
+def search(vectors: DataFrame, is_query, k: int = K, bound: float = BOUND, tally=None) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found of each vector that ``is_query`` (a
-    condition on vec_id) takes, among all others. ``vectors``: vec_id, embedding."""
+    condition on vec_id) takes, among all others. ``vectors``: vec_id, embedding. ``tally``: an
+    accumulator of ``Tally`` that counts the work."""
     own = stored(usable(vectors), "vectors")
     centres = centroids(own)
     chunks = stored(encode(own, centres), "codes")
@@ -212,7 +282,7 @@ def search(vectors: DataFrame, is_query, k: int = K, bound: float = BOUND) -> Da
     dealt = chunks.withColumn("g", F.pmod(F.xxhash64("chunk", "dim"), F.lit(groups).cast("bigint")))
     sent = blocks.withColumn("g", F.explode(F.expr(f"sequence(0L, {groups - 1}L)")))
     found = dealt.join(sent, ["g", "dim"]).mapInArrow(
-        _search(k, bound), "query_id bigint, vec_id bigint, score double"
+        _search(k, bound, tally), "query_id bigint, vec_id bigint, score double"
     )
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)

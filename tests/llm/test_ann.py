@@ -80,3 +80,34 @@ def test_odd_rows_ties_and_copies(spark):
 
 def test_empty_table(spark):
     assert A.report(spark.createDataFrame([], VECTORS)).count() == 0
+
+
+def test_products_of_packed_codes_are_those_of_the_signs():
+    rng = np.random.default_rng(3)
+    for dim in (1, 7, 64, 100, 128):
+        x, q = rng.normal(size=(50, dim)), rng.normal(size=(4, dim))
+        codes = A.packed(x > 0)
+        low, step, bits = A.planes(q)
+        signs = np.where(x > 0, 1.0, -1.0) / np.sqrt(dim)
+        for j in range(4):
+            found = A.code_products(codes, dim, low[j], step[j], bits[j])
+            # Rounding moves each coordinate by half a step at most.
+            assert np.abs(found - signs @ q[j]).max() <= step[j] / 2 * np.sqrt(dim) + 1e-9
+
+
+def test_few_pairs_are_measured(spark):
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(30, 64))
+    v = (centres[rng.integers(0, 30, 20_000)] + rng.normal(size=(20_000, 64)) * 0.5).astype(np.float32)
+    data = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id bigint, embedding array<float>")
+    tally = spark.sparkContext.accumulator(np.zeros(2, np.int64), A.Tally())
+    found = A.search(data, F.col("vec_id") % 500 == 0, tally=tally).collect()
+    estimated, measured = tally.value
+    assert estimated == 40 * 20_000 and measured < 0.1 * estimated
+    whole = v.astype(float)
+    hits = 0
+    for q in range(0, 20_000, 500):
+        d = np.sqrt(((whole - whole[q]) ** 2).sum(axis=1))
+        d[q] = np.inf
+        hits += len(set(np.argsort(d)[:10].tolist()) & {r.vec_id for r in found if r.query_id == q})
+    assert hits >= 0.95 * 400
