@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html import unescape
 from typing import NamedTuple
 
@@ -113,8 +114,11 @@ def _read(tag: str, attributes: str, inside: bool) -> tuple[str, bool]:
 
 
 def blocks(html: str) -> tuple[list[Block], list[tuple[tuple[str, ...], str]]]:
-    """The text blocks in page order, and (path, style) of every block element."""
+    """The text blocks in page order, and (path, style) of every block element. Time is in
+    proportion to the page, however its tags are nested. Elements more than ``DEEPEST`` levels down
+    share the path of the level above; their texts are kept like all others."""
     out: list[Block] = []
+    depth: Counter[str] = Counter()  # how many elements of each tag are open
     elements: list[tuple[tuple[str, ...], str]] = []
     stack: list[_Open] = []
     pieces: list[str] = []
@@ -123,6 +127,11 @@ def blocks(html: str) -> tuple[list[Block], list[tuple[tuple[str, ...], str]]]:
     def path() -> tuple[str, ...]:
         return tuple(o.style for o in stack[:DEEPEST])
 
+    def close(first: int) -> None:
+        for element in stack[first:]:
+            depth[element.tag] -= 1
+        del stack[first:]
+
     def flush() -> None:
         if pieces:
             text = " ".join(unescape("".join(pieces)).split())
@@ -162,10 +171,8 @@ def blocks(html: str) -> tuple[list[Block], list[tuple[tuple[str, ...], str]]]:
                 pieces.append(" ")
             elif tag in BLOCKS or tag in FOREIGN:
                 flush()
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i].tag == tag:
-                        del stack[i:]
-                        break
+                if depth[tag]:
+                    close(next(i for i in range(len(stack) - 1, -1, -1) if stack[i].tag == tag))
             continue
         if tag in RAW:
             end = re.compile(rf"</{tag}(?=[\s/>])", re.IGNORECASE).search(html, at)
@@ -180,18 +187,18 @@ def blocks(html: str) -> tuple[list[Block], list[tuple[tuple[str, ...], str]]]:
         if tag in VOID:
             continue
         if stack and stack[-1].tag == "p" and tag not in ("button", "label"):
-            stack.pop()
-        closes = _CLOSED_BY.get(tag)
-        if closes:
+            close(len(stack) - 1)
+        closes = _CLOSED_BY.get(tag, ())
+        if any(depth[c] for c in closes):
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i].tag in closes:
-                    del stack[i:]
+                    close(i)
                     break
                 if stack[i].tag in _BARRIER.get(tag, ("table",)):
                     break
         if tag == "body":
             while stack and stack[-1].tag == "head":
-                stack.pop()
+                close(len(stack) - 1)
         above = stack[-1] if stack else None
         inside = above.article if above else 0
         style, foreign = _read(tag, found[2], inside > 0)
@@ -202,5 +209,6 @@ def blocks(html: str) -> tuple[list[Block], list[tuple[tuple[str, ...], str]]]:
             continue
         article = len(stack) + 1 if tag in ARTICLE else inside
         stack.append(_Open(tag, style, foreign, article))
+        depth[tag] += 1
     flush()
     return out, elements

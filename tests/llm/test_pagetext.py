@@ -1,4 +1,5 @@
 import re
+import time
 from html import unescape
 
 from kpiweave.llm import pagetext as P
@@ -90,6 +91,21 @@ def test_names_of_article_elements_and_states_cut_nothing():
         assert texts(f"{open_}<p>t</p>") == [], open_
 
 
+def test_deep_and_long_pages_take_time_in_proportion():
+    def taken(n):
+        page = "<div>" * n + "<article><p>deep</p></article>" + "</p>" * n + "<ul>" + "<div>" * n + "<li>x" * n
+        start = time.perf_counter()
+        found = texts(page)
+        assert found[0] == "deep" and len(found) == n + 1
+        return time.perf_counter() - start
+
+    taken(500)
+    assert taken(16_000) < 12 * taken(4_000) + 1  # four times the page, not sixteen
+    assert texts("<div class=a>" * 100 + "<p>one<p>two" + "</div>" * 100 + "<p>three") == ["one", "two", "three"]
+    long = "word " * 300_000
+    assert texts(f"<article><p>{long}</p></article>") == [" ".join(long.split())]
+
+
 def test_empty_table(spark):
     assert P.report(spark.createDataFrame([], PAGES)).count() == 0
 
