@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from kpiweave.llm import (
@@ -67,6 +66,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op11_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers  # where the model file lies; no other query needs it
+
     model = public_tokenizers.path("piece_bpe_32k.model")
     return pieces.report(table(spark, sf_dir, "documents"), model)
 
