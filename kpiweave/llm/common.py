@@ -62,6 +62,17 @@ def released() -> Iterator[None]:
             made.destroy()
 
 
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Lowers the rows of an Arrow batch for this session, so that a batch of whole texts takes
+    little memory in the executor and in its Python workers. Results do not depend on it."""
+    now = int(spark.conf.get(ARROW_ROWS))
+    if now <= 0 or now > rows:
+        spark.conf.set(ARROW_ROWS, rows)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
