@@ -6,17 +6,34 @@
 4. secrets: secrets are masked in the text; no document goes.
 5. mixing: tokens per domain, language and source are brought to the target weights.
 
-Each stage's broadcasts are destroyed when its result is stored.
+Each stage's broadcasts are destroyed when its result is stored, and texts go to Python in Arrow
+batches of 1,000 rows at most, a setting that the stages leave on the session.
 
 SQL cannot express the first, fourth and fifth stage; the stages are tested against brute force.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 
 from kpiweave.llm import decontaminate, jaccard, mixing, secrets, toxicity
-from kpiweave.llm.common import released, stored, table
+from kpiweave.llm.common import released, small_batches, stored, table
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def _in_small_batches(stage: Stage) -> Stage:
+    """Stages share their executors, whose memory keeps what the largest batch took."""
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,11 +57,14 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
-    ("toxicity", drop_toxic),
-    ("near_duplicates", drop_near_copies),
-    ("decontamination", drop_contaminated),
-    ("secrets", mask_secrets),
-    ("mixing", mix_sources),
+    (name, _in_small_batches(stage))
+    for name, stage in (
+        ("toxicity", drop_toxic),
+        ("near_duplicates", drop_near_copies),
+        ("decontamination", drop_contaminated),
+        ("secrets", mask_secrets),
+        ("mixing", mix_sources),
+    )
 ]
 ORACLE_SQL = None
 
