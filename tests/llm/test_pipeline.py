@@ -1,6 +1,6 @@
 import corpus_pipeline as P
 from kpiweave.llm import jaccard, toxicity
-from kpiweave.llm.common import table
+from kpiweave.llm.common import ARROW_ROWS, stored, table
 from tests.llm.test_decontaminate import brute as contaminated
 from tests.llm.test_jaccard import brute as near
 
@@ -37,3 +37,14 @@ def test_empty_documents(spark, sf_dir):
     for _, stage in P.STAGES:
         docs = stage(spark, docs, sf_dir)
         assert docs.count() == 0
+
+
+def test_run_applies_the_stages_in_order(spark, sf_dir):
+    """Each stage's result is stored, its broadcasts are destroyed, and the next reads the files."""
+    now = table(spark, sf_dir, "documents")
+    for name, stage in P.STAGES:
+        now = stored(stage(spark, now, sf_dir), f"test-{name}")
+    got = P.run(spark, sf_dir)
+    assert got.dtypes == now.dtypes
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, now.collect()))
+    assert int(spark.conf.get(ARROW_ROWS)) <= 1000
