@@ -31,6 +31,8 @@ COLUMNS = ("doc_id", "source", "lang", "n_chars", "text")
 ARITY, DIGEST, LEVELS = 8, 64, 3
 BLOCK = ARITY**LEVELS
 RUN = ARITY * DIGEST  # hex digits of a full run
+FEW_GROUPS = 10_000  # two kilobytes each at most are broadcast
+SALTS = 32
 EVERY = 3  # rows whose id's crc32 this divides are tampered with in the report
 _ABC = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 PATH = "array<struct<left:binary,right:binary>>"
@@ -155,6 +157,17 @@ def members(blocks: DataFrame, kept: Sequence[str], also: Sequence[str] = ()) ->
     return rows.select("group", *also, "row.*")
 
 
+def _with_group(blocks: DataFrame, upper: DataFrame, groups: int) -> DataFrame:
+    """The blocks with what ``upper`` says of their group. A group may hold most of the blocks, so
+    they are not dealt by group alone: few groups are broadcast, many are copied per salt."""
+    same = F.col("group").eqNullSafe(F.col("name"))
+    if groups <= FEW_GROUPS:
+        return blocks.join(F.broadcast(upper), same)
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("copy")
+    salted = blocks.withColumn("salt", F.pmod("block", F.lit(SALTS)).cast("int"))
+    return salted.join(upper.select("*", salts), same & (F.col("salt") == F.col("copy"))).drop("salt", "copy")
+
+
 def proofs(leaves: DataFrame, kept: Sequence[str] = ()) -> DataFrame:
     """``leaves``: group, key, leaf and ``kept``. Returns them with subroot, root and path."""
     placed, largest = places(stored(leaves, "leaves"), ("group", "key", "leaf"))
@@ -168,7 +181,7 @@ def proofs(leaves: DataFrame, kept: Sequence[str] = ()) -> DataFrame:
     root = root.select(F.col("top").alias("root"), F.col("group").alias("all"))
     upper = members(upper, ("name",)).join(root, F.col("group") == F.col("all"))
     upper = upper.select("name", F.col("node").alias("subroot"), "root", F.col("path").alias("last"))
-    joined = blocks.join(upper, F.col("group").eqNullSafe(F.col("name")))
+    joined = _with_group(blocks, upper, groups)
     joined = joined.withColumn("above", F.concat("above", "last"))
     rows = members(joined, own, ("subroot", "root"))
     return rows.select("group", *own, F.col("node").alias("leaf"), "subroot", "root", "path")

@@ -86,7 +86,9 @@ def test_sizes_around_full_runs_and_blocks(spark, n):
     check(spark, [(i, f"Text {i}" if i % 2 else f"text {i}", "en", "s", i) for i in ids])
 
 
-def test_a_hot_group_a_hot_key_and_many_groups(spark):
+@pytest.mark.parametrize("few", [M.FEW_GROUPS, 10])
+def test_a_hot_group_a_hot_key_and_many_groups(spark, monkeypatch, few):
+    monkeypatch.setattr(M, "FEW_GROUPS", few)
     docs = [(i, f"T{i}", "hot", "s", 1) for i in range(1100)]
     docs += [(5, f"copy {i % 700}", "hot", "s", 1) for i in range(1400)]
     docs += [(i, f"T{i}", f"lang{i}", "s", 1) for i in range(600)]
