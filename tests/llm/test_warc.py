@@ -1,5 +1,6 @@
 import gzip
 import hashlib
+import io
 
 import pytest
 
@@ -57,3 +58,49 @@ def test_damage_is_reported():
         warc.parse(data.replace(b"payload\r", b"pAyload\r"))
     with pytest.raises(warc.WarcError):
         warc.parse(data[:-1])
+
+
+def test_archives_are_bounded_by_bytes(spark):
+    rows = [(i, "u", hashlib.sha256(str(i).encode()).hexdigest() * 40, "") for i in range(60)]
+    path, got = round_trip(spark, rows, file_bytes=1000)
+    assert sorted(r["page_id"] for r in got) == list(range(60))
+    sizes = [r.length for r in spark.read.format("binaryFile").load(path).collect()]
+    one = len(warc.member(warc.record(10, "u", rows[10][2].encode(), "0" * 64, None)))
+    assert len(sizes) > 20 and max(sizes) < max(1000, one + 200)
+
+
+class Counted(io.BytesIO):
+    most = 0
+
+    def read(self, n=-1):
+        Counted.most = max(Counted.most, n)
+        assert n > 0
+        return super().read(n)
+
+
+def test_a_stream_is_read_in_pieces():
+    pages = [b"", b"x" * 100, bytes(range(256)) * 5000, b"\r\n\r\n" * 70000, b"z" * (3 << 20)]
+    data = b""
+    for i, page in enumerate(pages):
+        digest = hashlib.sha256(page).hexdigest()
+        data += warc.member(warc.record(i, "u" * 200_000 * (i == 1), page, digest, None)) + warc.member(b"")
+    got = list(warc.records(Counted(data)))
+    assert [(r[0], r[6]) for r in got] == list(enumerate(pages))
+    assert Counted.most <= warc.CHUNK
+    short = list(warc.records(io.BytesIO(data), keep=False))
+    assert [r[:6] for r in short] == [r[:6] for r in got] and not any(r[6] for r in short)
+
+
+def test_every_cut_of_an_archive_is_reported():
+    page = b"some payload " * 9
+    record = warc.record(1, "u", page, hashlib.sha256(page).hexdigest(), None)
+    whole = warc.member(record)
+    for n in range(1, len(whole)):
+        if whole[:n] != warc._gzip(record, 6):  # what is cut may be the empty member alone
+            with pytest.raises(warc.WarcError):
+                list(warc.records(io.BytesIO(whole[:n])))
+    for n in range(len(record)):
+        with pytest.raises(warc.WarcError):
+            warc.parse(record[:n] + b"!" * (n % 2))
+    with pytest.raises(warc.WarcError):
+        warc.parse(record + b"\r\n")
