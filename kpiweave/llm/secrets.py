@@ -15,7 +15,9 @@ one (dictionary words, plain numbers and names in no telling place). What neithe
 stays unlabelled.
 
 The profile (dictionary and letter pairs) comes from all documents; labelled findings are a sample of
-at most ``TRAIN_ROWS`` of each kind; every text is scanned whole.
+at most ``TRAIN_ROWS`` of each kind; every text is scanned whole. A word of the dictionary is in
+``LEAST_DOCS`` documents and in one of ``DOC_SHARE`` at least. So the broadcast dictionary has at most
+``DOC_SHARE`` times as many words as a document has different ones on average, at any corpus size.
 
 Defined results: null and empty texts have no candidates; a null path counts as an empty one;
 without labelled findings of both kinds every candidate gets the share of secrets among the
@@ -37,11 +39,12 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpiweave.llm.common import stored, text_key
+from kpiweave.llm.common import broadcast, stored, text_key
 
 LEAST = 16
 TRAIN_ROWS = 20_000
 LEAST_DOCS = 3  # that hold a word of the dictionary
+DOC_SHARE = 50_000  # one document in so many at least holds it
 TREES, DEPTH, SEED = 40, 8, 7
 MASK = "[SECRET]"
 _CANDIDATE = re.compile(rf"[A-Za-z0-9+/_\-]{{{LEAST},}}={{0,2}}")
@@ -177,7 +180,7 @@ def _spans(text: str) -> list[tuple[int, int]]:
 def candidates(documents: DataFrame, profile: Profile, path: str = "source") -> DataFrame:
     """doc_id, row_key and the columns of ``FINDING`` of each candidate in ``documents``
     (doc_id, text and the path)."""
-    sent = documents.sparkSession.sparkContext.broadcast(profile)
+    sent = broadcast(documents.sparkSession.sparkContext, profile)
     kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.list_(pa.float64())]
     names = ["doc_id", "row_key", "start", "size", "candidate", "features"]
 
@@ -245,7 +248,8 @@ def profile(documents: DataFrame) -> Profile:
     got = cells.toArrow()
     pairs = np.ones(38 * 38)
     pairs[got["cell"].to_numpy()] += got["n"].to_numpy()
-    known = words.where((F.col("n") >= LEAST_DOCS) & (F.length("word") >= 3)).select("word")
+    least = max(LEAST_DOCS, -(-documents.count() // DOC_SHARE))
+    known = words.where((F.col("n") >= least) & (F.length("word") >= 3)).select("word")
     return Profile(frozenset(known.toArrow()["word"].to_pylist()), pairs.reshape(38, 38))
 
 

@@ -86,6 +86,54 @@ def test_recall_of_each_form(spark):
     assert min(recall.values()) >= 0.9, recall
 
 
+def unlabelled_forms(rng, i):
+    """Secrets and, from 4 on, values that are none, in forms that no labelling rule knows."""
+    lower, digits = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+
+    def some(n, of):
+        return "".join(rng.choice(of) for _ in range(n))
+
+    mixed = lower + lower.upper() + digits
+    return [
+        ("call", v := some(30, mixed), f'client.login("bob", "{v}")'),
+        ("bare hexadecimal", v := some(48, "0123456789abcdef"), f"then paste {v} there"),
+        ("list", v := some(32, mixed), f"keys: [{v}]"),
+        ("tag", v := some(36, mixed), f"<signature>{v}</signature>"),
+        ("path", v := "/".join(["usr", "lib", "bin", "share", "man", "doc"]), f"look in {v} first"),
+        ("slug", v := "-".join(["dim", "ber", "con", "fan", "gor", "bul"]), f"see {v} again"),
+        ("day", v := f"20{some(2, digits)}-0{rng.randint(1, 9)}-1{some(1, digits)}", f"on: {v}"),
+        ("amount", v := some(3, digits) + "." + some(2, digits), f"total = {v}"),
+        ("name", v := "bob_" + rng.choice(["fan", "gor", "bul"]), f"user = {v}"),
+    ][i]
+
+
+def test_forms_held_out_of_the_labels(spark):
+    rng = random.Random(31)
+    rows, secret, other = corpus()[0], {}, {}
+    for i in range(270):
+        _, value, around = forms(rng, i % 9)
+        rows.append((1000 + i, f"{rows[i][1][:100]} {around} {rows[i + 1][1][:60]}", "src", 1, "x", 0))
+        name, value, around = unlabelled_forms(rng, i % 9)
+        rows.append((2000 + i, f"{rows[i][1][:100]} {around} {rows[i + 1][1][:60]}", "src", 1, "x", 0))
+        (secret if i % 9 < 4 else other)[2000 + i] = name, value
+    judged = S.scan(spark.createDataFrame(rows, DOCS))
+    found = [(r.doc_id, r.candidate) for r in judged.where("is_secret AND doc_id >= 2000").collect()]
+    hits = {}
+    for i, (name, value) in (secret | other).items():
+        hits.setdefault(name, []).append(any(j == i and value in c for j, c in found))
+    rates = {name: sum(h) / len(h) for name, h in hits.items()}
+    right = sum(i in secret and secret[i][1] in c for i, c in found)
+    print(rates, right / len(found))
+    assert right / len(found) >= 0.9
+    assert sum(rates[n] for n in ("call", "bare hexadecimal", "list", "tag")) / 4 >= 0.7
+
+
+def test_a_word_of_the_dictionary_is_in_a_share_of_the_documents(spark, monkeypatch):
+    monkeypatch.setattr(S, "DOC_SHARE", 100)
+    rows = [(i, f"common {'tenth' if i % 10 == 0 else 'x'}{' rare' if i < 5 else ''}", "s", 1, "", 0) for i in range(600)]
+    assert S.profile(spark.createDataFrame(rows, DOCS)).words == {"common", "tenth"}
+
+
 def test_candidates_of_any_length_and_character():
     for text, value in (
         ('password = "Tr0ub4dor&3x!"', "Tr0ub4dor&3x!"), ("x bob:p@s:s!w%d@host.example y", "p@s:s!w%d"),
