@@ -281,7 +281,9 @@ def search(vectors: DataFrame, is_query, k: int = K, bound: float = BOUND, tally
     groups = max(1, -(-chunks.count() // GROUP))
     dealt = chunks.withColumn("g", F.pmod(F.xxhash64("chunk", "dim"), F.lit(groups).cast("bigint")))
     sent = blocks.withColumn("g", F.explode(F.expr(f"sequence(0L, {groups - 1}L)")))
-    found = dealt.join(sent, ["g", "dim"]).mapInArrow(
+    # Spark knows the size of the blocks but not that each is sent to every group: left alone, it
+    # would collect all these copies in the driver to broadcast them.
+    found = dealt.join(sent.hint("merge"), ["g", "dim"]).mapInArrow(
         _search(k, bound, tally), "query_id bigint, vec_id bigint, score double"
     )
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")

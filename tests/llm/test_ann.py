@@ -111,3 +111,11 @@ def test_few_pairs_are_measured(spark):
         d[q] = np.inf
         hits += len(set(np.argsort(d)[:10].tolist()) & {r.vec_id for r in found if r.query_id == q})
     assert hits >= 0.95 * 400
+
+
+def test_copies_of_the_queries_are_not_broadcast(spark):
+    rng = np.random.default_rng(9)
+    v = rng.normal(size=(300, 8)).tolist()
+    data = spark.createDataFrame([(i, x) for i, x in enumerate(v)], "vec_id bigint, embedding array<float>")
+    plan = A.report(data)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan
