@@ -27,6 +27,22 @@ from verification.queries_models import AS_OF_DATE, RANK_ERROR, TOLERANCE, Table
 from verification.queries_quality import listed
 
 
+FILE_ROWS = 200_000  # rows of a source table in an arriving file, about
+BUCKET_IDS = 1_000_000  # ids that a bucket of the id index is to hold, about
+
+
+def files_per_batch(t: Tables, table: str, batches: int, least: int) -> int:
+    """Files that bring a batch, so that a file, hence a task that writes one, stays of one size
+    as the table grows."""
+    rows = fixture.source(t.spark, t.sf_dir, table).count()
+    return max(least, -(-rows // (batches * FILE_ROWS)))
+
+
+def id_buckets(t: Tables, least: int = 8) -> int:
+    rows = fixture.source(t.spark, t.sf_dir, "events").count()
+    return max(least, -(-rows // BUCKET_IDS))
+
+
 def event_stream(t: Tables) -> DataFrame:
     return fixture.events_from(sinks.read_stream(t.spark, f"{t.sf_dir}/events.parquet"))
 
@@ -60,7 +76,7 @@ def deduplicated(t: Tables) -> DataFrame:
 
 def deduplicated_at_any_delay(t: Tables) -> DataFrame:
     root = writers.scratch_path(t.spark, "w2-index")
-    index = id_index.IdIndex(t.spark, f"{root}/index", buckets=8)
+    index = id_index.IdIndex(t.spark, f"{root}/index", buckets=id_buckets(t))
     events = mixed_arrivals(t, root)
     id_index.feed(events, index, f"{root}/checkpoint", once=True)
     return id_index.first_rows(index).drop("received_at")
@@ -161,9 +177,17 @@ def first_logins_fed(t: Tables) -> DataFrame:
 def mixed_arrivals(t: Tables, root: str, batches: int = 3) -> DataFrame:
     """The events as a stream of batches that each hold rows of all days, so that most rows come
     after later ones."""
-    part = F.pmod(F.xxhash64("event_id"), F.lit(2 * batches))
-    t.events.repartition(2 * batches, part).write.parquet(f"{root}/mixed")
-    return sinks.read_stream(t.spark, f"{root}/mixed", files_per_trigger=2)
+    files = files_per_batch(t, "events", batches, 2)
+    t.events.repartition(batches * files, F.xxhash64("event_id")).write.parquet(f"{root}/mixed")
+    return sinks.read_stream(t.spark, f"{root}/mixed", files_per_trigger=files)
+
+
+def time_ordered_arrivals(t: Tables, rows: DataFrame, table: str, path: str, ts: str) -> DataFrame:
+    """``rows`` as a stream of two batches of files that follow each other in time, the second
+    half as large as the first."""
+    half = files_per_batch(t, table, 3, 1)
+    writers.write_time_ordered(rows, path, ts, files=3 * half)
+    return sinks.read_stream(t.spark, path, files_per_trigger=2 * half)
 
 
 def late_daily_kpi(t: Tables) -> DataFrame:
@@ -181,13 +205,11 @@ def fed_lake(t: Tables, with_events: bool) -> incremental.Lake:
     """A lake after its feeds have arrived in several batches, transactions first."""
     root = writers.scratch_path(t.spark, "w7")
     lake = incremental.Lake(t.spark, f"{root}/lake", t.stg_users)
-    writers.write_time_ordered(t.transactions, f"{root}/txns", "created_at", files=3)
-    transactions = sinks.read_stream(t.spark, f"{root}/txns", files_per_trigger=2)
+    transactions = time_ordered_arrivals(t, t.transactions, "orders", f"{root}/txns", "created_at")
     schema = t.events.schema
     incremental.feed_transactions(lake, transactions, schema, f"{root}/checkpoint_txns", once=True)
     if with_events:
-        writers.write_time_ordered(t.events, f"{root}/events", "event_timestamp", files=3)
-        events = sinks.read_stream(t.spark, f"{root}/events", files_per_trigger=2)
+        events = time_ordered_arrivals(t, t.events, "events", f"{root}/events", "event_timestamp")
         incremental.feed_events(
             lake, events, transactions.schema, f"{root}/checkpoint_events", once=True
         )
