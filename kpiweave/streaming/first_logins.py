@@ -13,8 +13,7 @@ import datetime as dt
 from collections import defaultdict
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
@@ -32,48 +31,46 @@ SCHEMA = f"day date, {_FIELDS}"
 
 
 class FirstLogins(StatefulProcessor):
-    """Per user: the platforms of each login day, as bits, and the first of these days."""
+    """Per user, as one value: the login days and the platforms of each, as bits. The first of
+    the days is the day that counts the user as new. A batch reads and writes a user's state
+    once, however many days it brings."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.days = handle.getMapState("days", "day int", "platforms int")
-        self.first = handle.getValueState("first", "day int")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        seen: dict[int, int] = defaultdict(int)
-        for part in rows:  # a busy user's rows come in several parts
-            for day, bits in part.groupby("day")["platforms"].unique().items():
-                for value in bits:
-                    seen[int(day)] |= int(value)
-        changes = self._applied(seen)
+        self.logins = handle.getValueState("logins", "days array<int>, platforms array<int>")
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        seen: dict[int, int] = {}
+        for row in rows:
+            seen[row.day] = seen.get(row.day, 0) | row.platforms
+        state = self.logins.get()
+        known = dict(zip(*state)) if state is not None else {}
+        changes = self._applied(known, seen)
         if changes:
-            yield pd.DataFrame(changes)
-
-    def _applied(self, seen: dict[int, int]) -> list[dict]:
-        """Adds days to the state; the changes of the daily counts that follow."""
-        first = self.first.get()[0] if self.first.exists() else None
+            days = sorted(known)
+            self.logins.update((days, [known[day] for day in days]))
+        yield from changes
+
+    @staticmethod
+    def _applied(known: dict[int, int], seen: dict[int, int]) -> list[Row]:
+        """Adds days to the known ones; the changes of the daily counts that follow."""
+        first, earliest = min(known, default=None), min(seen)
         out: dict[int, dict] = defaultdict(lambda: dict.fromkeys(COUNTS, 0))
         for day, bits in seen.items():
-            known = self.days.getValue((day,))[0] if self.days.containsKey((day,)) else None
-            added = bits & ~(known or 0)
-            if known is None:
+            if day not in known:
                 out[day]["dau"] += 1
                 out[day]["returning_users"] += 1
+            added = bits & ~known.get(day, 0)
             for i, platform in enumerate(V.PLATFORMS):
-                out[day][f"dau_{platform}"] += added >> i & 1
-            if known is None or added:
-                self.days.updateValue((day,), ((known or 0) | bits,))
-        earliest = min(seen)
+                if added >> i & 1:
+                    out[day][f"dau_{platform}"] += 1
+            known[day] = known.get(day, 0) | bits
         if first is None or earliest < first:
-            self.first.update((earliest,))
             for day, step in ((earliest, 1), (first, -1)):
                 if day is not None:
                     out[day]["new_users"] += step
                     out[day]["returning_users"] -= step
-        epoch = dt.date(1970, 1, 1)
         return [
-            {"day": epoch + dt.timedelta(days=day), **counts}
-            for day, counts in out.items()
-            if any(counts.values())
+            Row(day=day, **counts) for day, counts in out.items() if any(counts.values())
         ]
 
 
@@ -84,12 +81,13 @@ def changes(events: DataFrame) -> DataFrame:
         bits = bits + F.when(F.col("platform") == platform, 1 << i).otherwise(0)
     logins = raw_logins(events).where(not_test_account() & F.col("login_date").isNotNull())
     days = logins.select("user_id", F.unix_date("login_date").alias("day"), bits.alias("platforms"))
-    return days.groupBy("user_id").transformWithStateInPandas(
+    found = days.groupBy("user_id").transformWithState(
         statefulProcessor=FirstLogins(),
-        outputStructType=SCHEMA,
+        outputStructType=f"day int, {_FIELDS}",
         outputMode="Update",
         timeMode="None",
     )
+    return found.withColumn("day", F.date_from_unix_date("day"))
 
 
 def daily_changes(spark: SparkSession, path: str) -> Partials:

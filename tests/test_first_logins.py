@@ -3,6 +3,8 @@ from __future__ import annotations
 import datetime as dt
 import random
 
+from pyspark.sql import Row
+
 from kpiweave.plans import activity
 from kpiweave.streaming import first_logins
 from tests import helpers as H
@@ -56,3 +58,29 @@ def test_any_order_gives_the_batch(spark, tmp_path):
 def test_nothing_yet(spark, tmp_path):
     counts = first_logins.daily_changes(spark, str(tmp_path / "counts"))
     assert first_logins.current(counts).count() == 0
+
+
+def test_a_batch_reads_and_writes_the_state_of_a_user_once():
+    class Value:
+        calls, kept = 0, None
+
+        def get(self):
+            Value.calls += 1
+            return Value.kept
+
+        def update(self, value):
+            Value.calls += 1
+            Value.kept = value
+
+    class Handle:
+        def getValueState(self, *_):
+            return Value()
+
+    user = first_logins.FirstLogins()
+    user.init(Handle())
+    rows = [Row(day=20_000 + i % 60, platforms=1) for i in range(600)]
+    changes = list(user.handleInputRows(("usr_1",), iter(rows), None))
+    assert sum(c.dau for c in changes) == 60 and Value.calls == 2
+    earlier = [Row(day=19_999, platforms=2)]
+    changes = {c.day: c.new_users for c in user.handleInputRows(("usr_1",), iter(earlier), None)}
+    assert changes == {19_999: 1, 20_000: -1} and Value.calls == 4
