@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from kpiweave.sources.writers import write_partitioned
 from kpiweave.streaming.partials import children
 from kpiweave.streaming.sinks import each_batch
 
@@ -124,7 +125,9 @@ class IdIndex:
         """Stores the rows whose id no other batch has brought, each id once, and their ids."""
         incoming = f"{self.root}/incoming/{run}"
         day = F.col("event_timestamp").cast("timestamp_ntz").cast("date")
-        once = rows.dropDuplicates(["event_id"]).withColumn("day", F.coalesce(day, F.lit("1970-01-01").cast("date")))
+        # Dealt by id first: else a task would sort all whole rows of the files that it reads.
+        dealt = rows.repartition("event_id")
+        once = dealt.dropDuplicates(["event_id"]).withColumn("day", F.coalesce(day, F.lit("1970-01-01").cast("date")))
         once.write.mode("overwrite").parquet(incoming)
         once = self.spark.read.schema(once.schema).parquet(incoming)
         named = self.candidates(once, run, batch)
@@ -141,14 +144,8 @@ class IdIndex:
         new = self.spark.read.schema(once.schema).parquet(out)
         marks = {"run": F.lit(run), "batch": F.lit(batch).cast("bigint")}
         placed = self._placed(new)
-        (
-            placed.select("event_id", "bucket", "day")
-            .withColumns(marks)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("day", "bucket", "run", "batch")
-            .parquet(self.ids_path)
-        )
+        ids = placed.select("event_id", "bucket", "day").withColumns(marks)
+        write_partitioned(ids, self.ids_path, ["day", "bucket", "run", "batch"])
         filters = placed.groupBy("bucket", "day").applyInPandas(_filters_of, _FILTER)
         filters.write.mode("overwrite").parquet(f"{self.filters_path}/{part}")
 

@@ -70,3 +70,15 @@ def test_an_empty_batch(spark, tmp_path):
 def test_small_filters(n):
     h = np.arange(n)
     assert id_index.holds(id_index.built(h), h).all()
+
+
+def test_a_batch_writes_one_file_per_day_and_bucket(spark, tmp_path):
+    index = id_index.IdIndex(spark, str(tmp_path / "index"), buckets=2)
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")  # many writing tasks, as with many rows
+    try:
+        index.first_of(H.events(spark, [event(f"x{i}", 1 + i % 3) for i in range(200)]), "r", 0)
+    finally:
+        spark.conf.set(key, before)
+    assert len(list(tmp_path.glob("index/ids/day=*/bucket=*/run=r/batch=0/*.parquet"))) == 6
