@@ -7,7 +7,9 @@ Restaurants, from the top:
   all others;
 * their common *parent*, over the same dishes;
 * the *rare* restaurant, serving all other words of the corpus and, like the parent, based on
-  equal shares; one share stands for words never met.
+  equal shares; one share stands for words never met;
+* below them, restaurants for *every* previous word (``previous_words``): the contexts above are
+  the base of those that share one context, and of all words outside the head.
 
 Customers of a parent are the tables of its children. Seating is sampled by Gibbs sweeps
 (``pitman_yor``); predictive probabilities are averaged over the sweeps after the first.
@@ -29,10 +31,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kpiweave.llm import pitman_yor as py
+from kpiweave.llm import previous_words as pw
 from kpiweave.llm import tokens
 from kpiweave.llm.common import id_remainder, stored, text_key
 
@@ -73,6 +77,7 @@ class Model:
     d: float
     total: int
     distinct: int
+    masses: np.ndarray  # probability of the words outside the head, by group of their hashes
 
     def base(self, c: np.ndarray) -> np.ndarray:
         return np.log10((c + 0.1) / (self.total + 0.1 * (self.distinct + 1)))
@@ -223,6 +228,13 @@ def train(texts: DataFrame, known: int = KNOWN) -> tuple[Model, DataFrame]:
         if sweep >= BURN:
             back += share * (py.THETA + d * tables) / (SWEEPS - BURN)
     seats = rare.select("h", "n", (F.col("seats") / (SWEEPS - BURN)).alias("seats"))
+    group = F.shiftrightunsigned("h", 8).bitwiseAND(pw.GROUPS - 1).cast("int")
+    own = F.greatest(F.col("n") - F.lit(d) * F.col("seats"), F.lit(0.0)) + F.lit(back)
+    by_group = seats.groupBy(group.alias("g")).agg(F.sum(own).alias("own")).toArrow()
+    # The share of the words never met is spread over the groups.
+    masses = np.full(pw.GROUPS, back / pw.GROUPS)
+    masses[by_group["g"].to_numpy()] += by_group["own"].to_numpy()
+    masses /= py.THETA + customers
     sizes = seats.groupBy("n").count().orderBy("n").toArrow()  # a row per distinct count
     more = np.cumsum(sizes["count"].to_numpy()[::-1])[::-1]
     fits = np.flatnonzero(more <= known)
@@ -235,22 +247,33 @@ def train(texts: DataFrame, known: int = KNOWN) -> tuple[Model, DataFrame]:
     order = np.argsort(all_h)
     model = Model(
         head, rank, matrix, all_h[order], all_n[order], all_s[order],
-        back, customers, d, total, distinct,
+        back, customers, d, total, distinct, masses,
     )
     return model, seats.where(F.col("n") < least)
 
 
 PARTS = (
     "doc_id bigint, row_key bigint, held_out boolean, base boolean, h bigint, n bigint,"
-    " n_known bigint, base_score double, score double"
+    " n_known bigint, base_score double, score double, slot bigint, bucket int, tokens binary"
 )
+KINDS = [pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), *[pa.int64()] * 3]
+KINDS += [pa.float64(), pa.float64(), pa.int64(), pa.int32(), pa.binary()]
 
 
-def _score_rows(sent):
+def _dealt_rows(dealer: pw.Dealer, names: list[str]) -> Iterator[pa.RecordBatch]:
+    for slot, bucket, data in dealer.dealt():
+        columns = [pa.nulls(1, kind) for kind in KINDS]
+        columns[3] = pa.array([False])
+        columns[-3:] = [pa.array([slot]), pa.array([bucket], pa.int32()), pa.array([data], pa.binary())]
+        yield pa.record_batch(columns, names=names)
+
+
+def _score_rows(sent, buckets: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
         names = [f.split()[0] for f in PARTS.split(", ")]
         empty = np.zeros(0, np.int64)
+        dealer = pw.Dealer(buckets, TaskContext.get().partitionId())
         for batch in batches:
             for part in tokens.slices(batch, "text"):
                 w = tokens.words(part.column("text"), tokens.PLAIN_LOWER)
@@ -265,6 +288,13 @@ def _score_rows(sent):
                 logs[both] += m.rare(m.counts[at[both]], m.seats[at[both]])
                 base = np.zeros(len(hashes))
                 base[found] = m.base(m.counts[at[found]])
+                code = np.where(found, (len(m.head) + at).astype(np.uint64), hashes | pw.UNKNOWN)
+                code = np.where(outside, code, dish.astype(np.uint64))
+                begins = np.ones(len(text), bool)
+                begins[1:] = text[1:] != text[:-1]
+                room, loose = pw.rooms(code, hashes, begins, len(m.head), CONTEXTS)
+                learn = part.column("learn").to_numpy(zero_copy_only=False).astype(np.int64)
+                slots = dealer.add(room[loose], code[loose], text[loose], learn)
                 lost = np.flatnonzero(~found)
                 key = np.lexsort((hashes[lost], text[lost]))
                 lost = lost[key]
@@ -284,12 +314,35 @@ def _score_rows(sent):
                     pa.array(np.concatenate([np.bincount(text, found, n), zero]).astype(np.int64)),
                     pa.array(np.concatenate([np.bincount(text, base, n), zero])),
                     pa.array(np.concatenate([np.bincount(text, logs, n), zero])),
+                    pa.array(slots).take(where),
+                    pa.nulls(len(of), pa.int32()),
+                    pa.nulls(len(of), pa.binary()),
                 ]
                 yield pa.record_batch(columns, names=names)
+                if dealer.full():
+                    yield from _dealt_rows(dealer, names)
+        yield from _dealt_rows(dealer, names)
 
     return rows
 
 
+def _changes(parts: DataFrame, buckets: int, sent, m: Model, seats: DataFrame) -> DataFrame:
+    """slot, change: what the restaurants per previous word change of each text's score."""
+    dealt = parts.where("bucket IS NOT NULL").select("bucket", "slot", "tokens")
+    dealt = dealt.repartition(buckets, "bucket").groupBy("bucket")
+    answers = stored(dealt.applyInArrow(pw.answer(sent, CONTEXTS), pw.ANSWERS), "answers")
+    sums = answers.where("sums IS NOT NULL").select("slot", "sums")
+    sums = sums.groupBy("slot").applyInArrow(pw.added, "slot bigint, score double")
+    # Words outside the broadcast model; their base is met here.
+    bit = F.lit(-(1 << 63)).cast("bigint")
+    bases = seats.select(F.col("h").bitwiseOR(bit).alias("h"), F.col("n").alias("c"), "seats")
+    met = answers.where("h IS NOT NULL").join(bases, "h")
+    own = F.greatest(F.col("c") - F.lit(m.d) * F.col("seats"), F.lit(0.0)) + F.lit(m.back)
+    score = F.log10(1 + F.col("factor") * F.lit(py.THETA + m.customers) / own)
+    both = sums.union(met.select("slot", score.alias("score")))
+    return both.groupBy("slot").agg(F.sum("score").alias("change"))
+
+
 def report(documents: DataFrame, known: int = KNOWN) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every document."""
     rest = id_remainder("doc_id", FOLDS)
@@ -302,9 +355,10 @@ def report(documents: DataFrame, known: int = KNOWN) -> DataFrame:
     )
     model, seats = train(texts.where("learn").select("text"), known)
     sent = documents.sparkSession.sparkContext.broadcast(model)
-    parts = stored(texts.drop("learn").mapInArrow(_score_rows(sent), PARTS), "scored")
+    buckets = 1 + model.total // pw.BUCKET
+    parts = stored(texts.mapInArrow(_score_rows(sent, buckets), PARTS), "scored")
     m = model
-    met = parts.where("NOT base").join(seats.withColumnRenamed("n", "c"), "h", "left")
+    met = parts.where("NOT base AND bucket IS NULL").join(seats.withColumnRenamed("n", "c"), "h", "left")
     c, t = F.coalesce("c", F.lit(0)), F.coalesce("seats", F.lit(0.0))
     own = F.greatest(c - F.lit(m.d) * t, F.lit(0.0)) + F.lit(m.back)
     base = F.log10((c + 0.1) / F.lit(m.total + 0.1 * (m.distinct + 1)))
@@ -315,9 +369,11 @@ def report(documents: DataFrame, known: int = KNOWN) -> DataFrame:
         (F.col("n") * base).alias("base_score"),
         (F.col("n") * F.log10(own / F.lit(py.THETA + m.customers))).alias("score"),
     )
-    whole = parts.where("base").select(
-        "doc_id", "row_key", "held_out", "base", F.col("n").alias("tokens"), "n_known", "base_score", "score"
-    )
+    changes = _changes(parts, buckets, sent, model, seats)
+    whole = parts.where("base").join(changes, "slot", "left").select(
+        "doc_id", "row_key", "held_out", "base", F.col("n").alias("tokens"), "n_known", "base_score",
+        (F.col("score") + F.coalesce("change", F.lit(0.0))).alias("score"),
+    )
     # Equal rows bring equal parts: the sums are divided by the number of rows again.
     summed = whole.union(rare).groupBy("doc_id", "row_key", "held_out").agg(
         F.count_if("base").alias("copies"),
