@@ -24,7 +24,7 @@ from kpiweave.llm import pitman_yor as py
 from kpiweave.llm import tokens
 
 GROUPS = 256
-SENT = 2_000_000  # tokens that a task gathers before it deals them to buckets
+SENT = 1_000_000  # tokens that a task gathers before it deals them to buckets
 BUCKET = 2_000_000  # tokens of the corpus per bucket, restaurants or not
 TEXT_BITS = np.int64(20)  # of a slot: the text's number within what a task dealt at a time
 UNKNOWN = np.uint64(1 << 63)  # the code of a word outside the broadcast model: its hash with this bit
@@ -73,7 +73,7 @@ def pack(room: np.ndarray, word: np.ndarray, text: np.ndarray) -> bytes:
     return head + r + w + _planes(text.astype(np.uint32)) + more_r.tobytes() + more_w.tobytes()
 
 
-def unpack(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def unpack(data) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     n, more_r, more_w = np.frombuffer(data, np.int64, 3)
     raw = np.frombuffer(data, np.uint8, 12 * n, 24).reshape(3, 4, n).transpose(0, 2, 1)
     flat = np.ascontiguousarray(raw).view(np.uint32).reshape(3, n)
@@ -131,7 +131,7 @@ def seated(room, word, learn, m, contexts: int, rng):
     NaN if all is known."""
     head = np.uint64(len(m.head))
     start = np.flatnonzero(np.append(True, (room[1:] != room[:-1]) | (word[1:] != word[:-1])))
-    c = np.add.reduceat(learn, start)
+    c = np.add.reduceat(learn, start, dtype=np.int64)
     r, w = room[start], word[start]
     begins = np.append(True, r[1:] != r[:-1])
     at, of = np.flatnonzero(begins), np.cumsum(begins) - 1
@@ -162,22 +162,37 @@ def seated(room, word, learn, m, contexts: int, rng):
     return start, change, np.where(known | (c == 0), np.nan, factor), w
 
 
+def gathered(rows: pa.Table) -> tuple[np.ndarray, ...]:
+    """Restaurant, word, slot and whether it is learned from, of all tokens of a bucket."""
+    data = [x.as_buffer() for x in rows["tokens"]]
+    ends = np.cumsum([0] + [int(np.frombuffer(x, np.int64, 1)[0]) for x in data])
+    room, word = np.empty(ends[-1], np.uint64), np.empty(ends[-1], np.uint64)
+    slot, learn = np.empty(ends[-1], np.int64), np.empty(ends[-1], np.uint8)
+    for x, base, i, j in zip(data, rows["slot"].to_numpy(), ends, ends[1:]):
+        room[i:j], word[i:j], text = unpack(x)
+        slot[i:j], learn[i:j] = base + (text >> 1), text & 1
+    return room, word, slot, learn
+
+
 def answer(sent, contexts: int):
     def answers(key, rows):
         m = sent.value
-        parts = [unpack(x.as_py()) for x in rows["tokens"]]
-        base = np.repeat(rows["slot"].to_numpy(), [len(p[0]) for p in parts])
-        room, word, text = (np.concatenate(x) for x in zip(*parts))
-        slot, learn = base + (text >> 1), (text & 1).astype(np.int64)
+        room, word, slot, learn = gathered(rows)
         # Equal pairs may come in any order: counts and seats do not depend on it.
         order = np.lexsort((word, room))
-        room, word, slot, learn = room[order], word[order], slot[order], learn[order]
+        room, word = room[order], word[order]
+        slot, learn = slot[order], learn[order]
+        del order  # a bucket's arrays are what a worker's memory goes to
         rng = np.random.default_rng([SEED, key[0].as_py()])
         start, change, factor, w = seated(room, word, learn, m, contexts, rng)
         times = np.diff(np.append(start, len(room)))
+        del room, word, learn, start
         back = np.argsort(slot, kind="stable")
-        slots, first = np.unique(slot[back], return_index=True)
+        slots = slot[back]
+        first = np.flatnonzero(np.append(True, slots[1:] != slots[:-1]))
+        slots = slots[first]
         sums = np.add.reduceat(np.repeat(change, times)[back], first)
+        del back
         dealt = slots >> TEXT_BITS
         at = np.flatnonzero(np.append(True, dealt[1:] != dealt[:-1]))
         blobs = []
